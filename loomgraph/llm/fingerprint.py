@@ -8,8 +8,9 @@ paragraph is put in or taken out by adding or subtracting its vector.
 Centred lanes of a difference of two fingerprints have a variance in proportion to the number of units
 that the texts don't share, which gives the likeness: 1 - |difference| / (units of both), from 0 to 1.
 
-Null and empty texts have one empty paragraph. Repeated rows are rows each. After the last document comes
-the first; a single row is its own next. An empty table gives no rows.
+Null and empty texts have one empty paragraph. Repeated rows are rows each. Rows go by
+doc_id, then text; null ids go first. After the last row comes that with the smallest id (if none has an
+id, a row is its own next). An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -100,7 +101,7 @@ def edit_likeness(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     rows = seated.select("bucket", "guest", "seat", "doc_id", "text", chars.cast("long").alias("n_chars"), F.when(F.col("guest") == 0, edited).alias("edited"))
     both = rows.select(
         "bucket", "guest", "seat", "doc_id", "n_chars", F.unhex(F.sha2("edited", 256)).alias("sha"),
-        F.explode(F.when(F.col("guest") == 0, F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("t")), F.struct(F.lit(1), F.col("edited")))).otherwise(F.array(F.struct(F.lit(0), F.col("text"))))).alias("side"),
+        F.explode(F.when(F.col("guest") == 0, F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("t")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("t")))).otherwise(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("t"))))).alias("side"),
     ).select("bucket", "guest", "seat", "doc_id", "n_chars", "sha", F.col("side.kind").alias("kind"), F.col("side.t").alias("t"))
     keys = ["bucket", "guest", "seat", "doc_id", "n_chars", "sha", "kind"]
     printed = fingerprints(both, keys, "t")

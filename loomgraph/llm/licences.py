@@ -54,11 +54,11 @@ COPYRIGHT = r"(?m)^[ \t]*(copyright|\(c\)|©)([ \t]*(\(c\)|©|copyright))?[ \t]+
 
 def canonical(text: Column) -> Column:
     out = F.regexp_replace(F.lower(text), COPYRIGHT, " ")
-    out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
-    for a, b in SPELLINGS:  # only texts that hold the spelling are rewritten
-        padded = F.concat(F.lit(" "), out, F.lit(" "))
-        out = F.when(F.contains(out, F.lit(a)), F.trim(F.replace(F.replace(padded, F.lit(f" {a} "), F.lit(f" {b} ")), F.lit(f" {a} "), F.lit(f" {b} ")))).otherwise(out)
-    return out
+    out = F.concat(F.lit(" "), F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    for a, b in SPELLINGS:  # twice, as neighbours share the space between them
+        for _ in range(2):
+            out = F.replace(out, F.lit(f" {a} "), F.lit(f" {b} "))
+    return F.trim(out)
 
 
 def known(spark: SparkSession) -> DataFrame:

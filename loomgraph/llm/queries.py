@@ -81,10 +81,10 @@ def _sql_text(text: str) -> str:
 
 def _sql_canonical(x: str) -> str:
     copyright_line = r"(?m)^[ \t]*(copyright|\(c\)|©)([ \t]*(\(c\)|©|copyright))?[ \t]+([0-9]{4}|by )[^\n]*$"
-    out = f"trim(regexp_replace(regexp_replace(lower({x}), {_sql_text(copyright_line)}, ' ', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    out = f"' ' || regexp_replace(regexp_replace(lower({x}), {_sql_text(copyright_line)}, ' ', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
     for a, b in licences.SPELLINGS:
-        out = f"trim(replace(replace(' ' || {out} || ' ', ' {a} ', ' {b} '), ' {a} ', ' {b} '))"
-    return out
+        out = f"replace(replace({out}, ' {a} ', ' {b} '), ' {a} ', ' {b} ')"
+    return f"trim({out})"
 
 
 OP8_SQL = f"""
@@ -105,7 +105,7 @@ SELECT w.doc_id, w.digest, k.license, coalesce(f.line_licenses, '') AS line_lice
 FROM whole w LEFT JOIN known k USING (digest) LEFT JOIN found f ON f.doc_id = w.doc_id
 """
 
-_CODE_SQL = "SELECT vec_id, list_reduce(list_prepend(0::UBIGINT, list_transform(range(1, 65), i -> CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << (i - 1)::UBIGINT) ELSE 0::UBIGINT END)), (a, b) -> a | b) AS code FROM embeddings"
+_CODE_SQL = "SELECT vec_id, list_reduce(list_prepend(0::UBIGINT, list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << (i - 1)::UBIGINT) ELSE 0::UBIGINT END)), lambda a, b: a | b) AS code FROM embeddings"
 
 OP10_SQL = f"""
 WITH codes AS ({_CODE_SQL}),

@@ -129,12 +129,12 @@ def links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
     ship(spark)
     members = materialise(_members(distinct), "anchors")
     sizes = members.groupBy("anchor").agg(F.sum("home").alias("homes"), F.count("*").alias("all"))
-    busy = sizes.filter("homes > 0 and all > 1").select("anchor", F.ceil(F.col("homes") / block).cast("int").alias("h"), F.ceil(F.col("all") / block).cast("int").alias("v"))
+    busy = sizes.filter("homes > 0 and all > 1").select("anchor", F.ceil(F.col("homes") / block).alias("h"), F.ceil(F.col("all") / block).alias("v"))
     met = members.join(busy, "anchor")
     mixed = F.xxhash64("fp")
     # as a home: once for each block of visitors; as a visitor (homes too): once for each block of homes
-    as_home = met.filter("home = 1").select("anchor", "fp", F.lit(1).alias("side"), F.pmod(mixed, "h").alias("x"), F.explode(F.sequence(F.lit(0), F.col("v") - 1)).cast("long").alias("y"))
-    as_visitor = met.select("anchor", "fp", F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), F.col("h") - 1)).cast("long").alias("x"), F.pmod(mixed, "v").alias("y"))
+    as_home = met.filter("home = 1").select("anchor", "fp", F.lit(1).alias("side"), F.pmod(mixed, "h").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("v").cast("long") - 1)).alias("y"))
+    as_visitor = met.select("anchor", "fp", F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("h").cast("long") - 1)).alias("x"), F.pmod(mixed, "v").alias("y"))
     units = as_home.unionByName(as_visitor)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_units = units.repartition(n, "anchor", "x", "y").sortWithinPartitions("anchor", "x", "y")

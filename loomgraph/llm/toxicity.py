@@ -2,8 +2,10 @@
 
 Features: lexicon density, number and distinct lexicon words, sum of their weights, hits near a second
 person, capitals, punctuation, obfuscated hits (letters swapped for signs, spaced out or stretched), and
-length. The lexicon and its weights are learnt from the training rows; so are trees and calibration
-(isotonic regression on out-of-fold scores). Labels, language, source and ids are no inputs.
+length. The lexicon and its weights are learnt from one half of the training rows (words whose log odds
+are surely over CERTAIN), trees and calibration (isotonic regression on out-of-fold scores) from the
+other half, so that the trees don't trust words that stood out by chance. Labels, language, source and
+ids are no inputs.
 
 Training uses at most SAMPLE labelled rows, chosen by a hash of doc_id; every document is scored.
 Nulls and empty texts are scored as empty texts. A document with several labels counts as toxic if one
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import id_text, record_batch, ship, texts_of
 
-SAMPLE, LEXICON, TREES, DEPTH, RATE, FOLDS = 12_000, 400, 60, 3, 0.15, 4
+SAMPLE, LEXICON, CERTAIN, TREES, DEPTH, RATE, FOLDS = 12_000, 400, 1.2, 60, 3, 0.15, 4
 
 # Second-person words and the letters that signs stand for.
 SECOND = "you your yours yourself u ur tu te toi vous votre vos du dich dir dein deine ihr euch usted ustedes ti tus vosotros"
@@ -207,7 +209,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     given = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
     chosen = given.filter(training_fold(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # the sample is bounded by a parameter, so both lists below are
-    toxic = {r.doc_id: r.toxic for r in chosen.collect()}
+    picked = chosen.collect()
+    toxic = {r.doc_id: r.toxic for r in picked}
+    for_words = {r.doc_id for r in picked[::2]}
     wanted = docs.sparkSession.createDataFrame(sorted(toxic), "long").withColumnRenamed("value", "doc_id") if toxic else None
     if wanted is None:
         return Model({}, np.zeros((0, len(NAMES))), np.zeros(0))
@@ -217,6 +221,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         n: Counter = Counter()
         for ids, texts in texts_of(batches):
             for i, t in zip(ids, texts, strict=True):
+                if i not in for_words:
+                    continue
                 bad = toxic[i] > 0
                 found = {w for w in _WORD.findall(t.lower()) if 2 < len(w) < 30}
                 n.update((w, bad) for w in found)
@@ -232,17 +238,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     counted = rows.mapInArrow(words, "word string, bad boolean, n long").groupBy("word").agg(
         F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("b")
     )
-    na = sum(v > 0 for v in toxic.values())
-    nb = len(toxic) - na
-    weight = F.log((F.col("a") + 0.5) / (na + 1)) - F.log((F.col("b") + 0.5) / (nb + 1))
-    least = max(3, na // 50)
-    best = counted.filter(F.col("a") >= least).select("word", weight.alias("w")).filter("w > 1.6").orderBy(F.desc("w"), "word").limit(LEXICON)
+    na = sum(toxic[i] > 0 for i in for_words)
+    nb = len(for_words) - na
+    a, b = F.col("a") + 0.5, F.col("b") + 0.5
+    weight = F.log(a / (na + 1)) - F.log(b / (nb + 1))
+    sure = weight - 2 * F.sqrt(1 / a + 1 / b)
+    best = counted.filter("a >= 3").select("word", weight.alias("w"), sure.alias("sure")).filter(F.col("sure") > CERTAIN).orderBy(F.desc("sure"), "word").limit(LEXICON)
     lexicon = {r.word: r.w for r in best.collect()}
 
     def features(batches):
         use = Features(lexicon)
         for ids, texts in texts_of(batches):
-            yield record_batch({"doc_id": (ids, pa.int64()), "x": (use.matrix(texts).tolist(), pa.list_(pa.float64()))})
+            rest = [(i, t) for i, t in zip(ids, texts, strict=True) if i not in for_words]
+            yield record_batch({"doc_id": ([i for i, _ in rest], pa.int64()), "x": (use.matrix([t for _, t in rest]).tolist(), pa.list_(pa.float64()))})
 
     # one row an id: with repeated ids the first by text
     got = rows.mapInArrow(features, "doc_id long, x array<double>").groupBy("doc_id").agg(F.min("x").alias("x")).collect()
