@@ -102,7 +102,7 @@ class Lowerer:
             return c, True
         if isinstance(t, T.StringType) and isinstance(x, str) and "T" in x:
             return c.cast("timestamp_ntz"), True
-        return c.cast("date"), False
+        return (c, False) if isinstance(t, T.NumericType) else (c.cast("date"), False)
 
     def key_literal(self, iri: str, cls: str) -> Column:
         d = self.catalog.get(cls)
@@ -378,11 +378,12 @@ class Lowerer:
         return Lowerer(self.spark, self.catalog, self.named, self.store, graph, self.commit)
 
     def do_IsA(self, node: A.IsA, f: Frame) -> Frame:
-        if isinstance(node.type, A.Var) and node.type.name not in f.info or isinstance(node.type, A.Var):
+        if isinstance(node.type, A.Var):
             scans = []
-            for c in self.catalog.concrete_all() if hasattr(self.catalog, "concrete_all") else [k for k, d in self.catalog.classes.items() if d.frame and not d.abstract]:
-                x = self.class_scan(c, node.element, ())
-                x = self.one(x)
+            for c in (k for k, d in self.catalog.classes.items() if d.frame and not d.abstract):
+                if isinstance(node.element, A.Iri) and self.catalog.get(c).key != ("iri",) and not node.element.text.startswith(f"{c}/"):
+                    continue
+                x = self.one(self.class_scan(c, node.element, ()))
                 scans.append(Frame(x.df.withColumn(node.type.name, F.explode(F.array(*[F.lit(a) for a in self.catalog.ancestors(c)]))), x.info | {node.type.name: Info("node")}))
             return self.join(f, self.union(scans))
         classes = self.catalog.concrete(_name(node.type))
@@ -994,7 +995,7 @@ class Lowerer:
         return self.bind(f, relation, temporal.allen(a, b, c, d))
 
     def do_IntervalRelation(self, node, f):
-        return self.relate(node.relation, f, *(self.when(x, f)[0] if not isinstance(x, (int, float)) else F.lit(x) for x in (node.x_start, node.x_end, node.y_start, node.y_end)))
+        return self.relate(node.relation, f, *(self.when(x, f)[0] for x in (node.x_start, node.x_end, node.y_start, node.y_end)))
 
     def do_IntervalRelationTyped(self, node, f):
         return self.relate(node.relation, f, *self.ends(f, node.x), *self.ends(f, node.y))
