@@ -55,12 +55,14 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     seg = lambda col: F.posexplode(F.array(*[value(col, a, b) for a, b in parts])).alias("seg", "value")
     index = materialise(classes.select("code", "ids", "least", seg(F.col("code"))), "segments")
     todo = materialise(queries.select("code").distinct().withColumnRenamed("code", "q"), "queries")
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     done = None
     for r in range(max(b for _, b in parts) + 1):
         reach = m * (r + 1) - 1
         balls = F.array(*[F.expr(f"filter(sequence(0L, {(1 << b) - 1}L), x -> bit_count(x) <= {r})") for _, b in parts])
-        probes = todo.select("q", seg(F.col("q"))).select("q", "seg", F.explode(F.get(balls, F.col("seg"))).alias("mask"), "value").select("q", "seg", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-        met = probes.join(index, ["seg", "value"]).withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code")))).filter(F.col("distance") <= reach)
+        probes = todo.repartition(spread, "q").select("q", seg(F.col("q"))).select("q", "seg", F.explode(F.get(balls, F.col("seg"))).alias("mask"), "value").select("q", "seg", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
+        # a size estimate doesn't see how many probes a ball makes, so the join is a merge: never a broadcast of probes
+        met = probes.join(index.hint("merge"), ["seg", "value"]).withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code")))).filter(F.col("distance") <= reach)
         near = met.groupBy("q", "code").agg(F.first("distance").alias("distance"), F.first("ids").alias("ids"), F.first("least").alias("least"))
         order = Window.partitionBy("q").orderBy("distance", "least")
         best = near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
