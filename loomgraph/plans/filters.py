@@ -33,6 +33,10 @@ def _any(parts) -> Column:
     return out
 
 
+def _tests(test: dict) -> Callable[[Column], Column]:
+    return lambda e: _all(_OPS[o](e, y) for o, y in test.items())
+
+
 @dataclass(frozen=True)
 class Relation:
     """name of the result; forward: a link of the class; reverse: (class, its link to us)."""
@@ -151,13 +155,13 @@ class Model:
         for op, x in test.items():
             if op in ("someHave", "allHave"):
                 some = F.exists if op == "someHave" else F.forall
-                out = out & some(c, lambda e, x=x: _all(_OPS[o](e, y) for o, y in x.items()))
+                out = out & some(c, _tests(x))
                 continue
             if op not in _OPS or (op in _TEXT and prop.xsd != "string") or (prop.xsd == "boolean" and op not in ("eq", "ne")):
                 raise CatalogError(f"{op} doesn't fit {prop.name}")
             if prop.link:
                 x = low.key_literal(x, prop.link)
-            out = out & (F.exists(c, lambda e, op=op, x=x: _OPS[op](e, x)) if prop.many else _OPS[op](c, x))
+            out = out & (F.exists(c, _tests({op: x})) if prop.many else _OPS[op](c, x))
         return out
 
     def _sorted(self, df: DataFrame, order, cls: str) -> list[Column]:

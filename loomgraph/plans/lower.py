@@ -122,6 +122,9 @@ class Lowerer:
             return c.cast("string")
         return F.concat(F.lit(f"{cls}/"), c.cast("string"))
 
+    def iri_of(self, cls: str | None):
+        return lambda c: self.iri(c, cls)
+
     def plain(self, f: Frame, names) -> Frame:
         """The frame with these node variables as IRIs."""
         todo = [n for n in names if n in f.info and f.info[n].cls]
@@ -326,12 +329,16 @@ class Lowerer:
                 continue
             items = [F.array(F.struct(F.lit("rdf:type").alias("p"), F.lit(name).alias("o"), F.lit("node").alias("kind"), F.lit("sys:Class").alias("dt")))]
             for p in self.catalog.properties(name).values():
-                make = lambda c, p=p: F.struct(F.lit(p.name).alias("p"), (self.iri(c, p.link) if p.link else c.cast("string")).alias("o"), F.lit("node" if p.link else "lit").alias("kind"), F.lit(p.link or f"xsd:{p.xsd}").alias("dt"))
+                make = self.edge_of(p)
                 items.append(F.transform(F.col(p.column), make) if p.many else F.array(make(F.col(p.column))))
             df = d.frame().select(self.iri(d.raw_key(), name).alias("s"), F.explode(F.concat(*items)).alias("e")).select("s", "e.p", "e.o", "e.kind", "e.dt").filter("o is not null")
             out = df if out is None else out.unionByName(df)
         return out
 
+    def edge_of(self, p: Any):
+        """One value of a property as an edge."""
+        return lambda c: F.struct(F.lit(p.name).alias("p"), (self.iri(c, p.link) if p.link else c.cast("string")).alias("o"), F.lit("node" if p.link else "lit").alias("kind"), F.lit(p.link or f"xsd:{p.xsd}").alias("dt"))
+
     def schema_triples(self) -> DataFrame:
         rows = []
         for n, d in self.catalog.classes.items():
@@ -1099,7 +1106,7 @@ class Lowerer:
                 df = df.join(inner, df[p.column] == F.col(f"_k{k}"), "left")
                 c = F.col(f"_d{k}")
             elif p.link:
-                c = F.transform(c, lambda x, p=p: self.iri(x, p.link)) if p.many else self.iri(c, p.link)
+                c = F.transform(c, self.iri_of(p.link)) if p.many else self.iri(c, p.link)
             columns.append(c.alias(p.name))
         return df.select(F.col("_key").alias("key"), F.struct(*columns).alias("doc"))
 
