@@ -13,7 +13,7 @@ from array import array
 
 import regex
 
-CHUNKS, PIECES = 600_000, 400_000
+CHUNKS, PIECES = 700_000, 500_000
 
 
 def byte_alphabet() -> list[str]:
@@ -104,11 +104,19 @@ class ByteEncoder(PieceEncoder):
         super().__init__(path)
         self.split = regex.compile(public_tokenizers.PATTERN)
         self.chunks = _Memo(self.chunk_ids, CHUNKS // 4)
-        self.spaced = _Memo(lambda c: self.chunk_ids(" " + c), CHUNKS)
+        self.spaced = _Memo(self.word_ids, CHUNKS)
 
     def chunk_ids(self, chunk: str) -> bytes:
         return b"".join([self.pieces[p] for p in self.split.findall(chunk)])
 
+    def word_ids(self, word: str) -> bytes:
+        """A chunk after a single space. Letters alone are one piece, and so is one mark behind them."""
+        if word.isalpha():
+            return self.pieces[" " + word]
+        if word[:-1].isalpha() and word[-1] in ",.":
+            return self.pieces[" " + word[:-1]] + self.pieces[word[-1]]
+        return self.chunk_ids(" " + word)
+
     def encode(self, text: str) -> bytes:
         words = seams(text)
         if words is None:
