@@ -275,7 +275,7 @@ class _Parser:
             return self.var()
         self.take()
         if t[0] == "<":
-            return A.Iri(re.sub(r"^.*[#]|^terminusdb:///(?:schema#|data/)|^https?://[^/]+/(?=[A-Z]\w*/)|^https?://.*/", "", t[1:-1]))
+            return A.Iri(re.sub(r"^.*[#]|^\w+:///(?:data/)?|^https?://[^/]+/(?=[A-Z]\w*/)|^https?://.*/", "", t[1:-1]))
         if t[0] in "\"'":
             m = re.match(r"([\"'])((?:[^\\]|\\.)*?)\1(?:\^\^(.*)|@.*)?$", t, re.S)
             text = m[2].encode().decode("unicode_escape").encode("latin-1", "ignore").decode("utf-8", "ignore") if "\\" in m[2] else m[2]
