@@ -237,6 +237,34 @@ def time_travel(session: Session) -> DataFrame:
 frame("time_travel", time_travel, "SELECT (SELECT count(*) FROM nation WHERE n_nationkey >= 10) AS x, (SELECT count(*) FROM nation) AS y")
 
 
+def written(session: Session) -> DataFrame:
+    s_ = Session(session.spark, store=_store(session, "Nation", "Region"))
+    s_.write(
+        And(
+            Triple(n, "region", A.Iri("Region/1")), Triple(n, "n_name", x), A.Lower(x, y),
+            A.InsertDocument({"@type": "Region", "@id": A.Iri("Region/50"), "r_name": "NEW"}),
+            A.AddLink(n, "region", A.Iri("Region/50")), A.AddData(n, "n_name", y), A.DeleteDocument(A.Iri("Region/4")),
+        )
+    )
+    return s_.run(Select([x, y], And(Triple(n, "n_name", x), Link(n, "region", r), Triple(r, "r_name", y))))
+
+
+frame("write_transaction", written, "SELECT CASE WHEN n_regionkey = 1 THEN lower(n_name) ELSE n_name END AS x, CASE WHEN n_regionkey = 1 THEN 'NEW' ELSE r_name END AS y FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey <> 4")
+
+
+def rebased(session: Session) -> DataFrame:
+    store = _store(session, "Region")
+    row = lambda k_, name: session.spark.createDataFrame([(k_, name)], "r_regionkey int, r_name string")
+    store.branch("work")
+    store.update("Region", row(1, "MINE"), "work")
+    store.update("Region", row(2, "THEIRS"), "main")
+    store.rebase("work")
+    return store.read("Region", store.head("work")).select("r_regionkey", "r_name")
+
+
+frame("branch_rebase", rebased, "SELECT r_regionkey, CASE r_regionkey WHEN 1 THEN 'MINE' WHEN 2 THEN 'THEIRS' ELSE r_name END AS r_name FROM region")
+
+
 def diffed(session: Session) -> DataFrame:
     store = _store(session, "Nation")
     first = store.head("main")

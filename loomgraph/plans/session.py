@@ -37,6 +37,27 @@ class Session:
         shown = [low.iri(F.col(n), out.info[n].cls).alias(n) if out.info[n].kind == "node" and out.info[n].cls else F.col(n) for n in names]
         return out.df.select(*shown) if shown else out.df.select()
 
+    def write(self, node: Any, author: str = "", message: str = "") -> str:
+        """Runs the writes of a query as one commit of a branch, which this session then reads if it is its own."""
+        from .writes import Writer, effects
+
+        if self.store is None:
+            raise ValueError("a session without a store reads only")
+        found = list(effects(node.query if isinstance(node, A.NamedQuery) else node, (), self.branch))
+        if len({b for _, _, b in found}) != 1:
+            raise ValueError("a commit is on one branch")
+        branch = found[0][2]
+        catalog, head = (self.catalog, self.commit) if branch == self.branch else (self.store.catalog_at(self.store.head(branch)), self.store.head(branch))
+        if head != self.store.head(branch):
+            raise ValueError(f"{branch} has moved since this session was opened")
+        writer = Writer(Lowerer(self.spark, catalog, self.named, self.store, commit=head), self.store, branch)
+        for reads, change, _ in found:
+            writer.apply(reads, change)
+        commit = writer.commit(author=author, message=message)
+        if branch == self.branch:
+            self.commit, self.catalog = commit, self.store.catalog_at(commit)
+        return commit
+
     def count(self, node: Any) -> int:
         """Solutions without the outer paging."""
         return self.run(A.unpaged(node)).count()

@@ -14,7 +14,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.catalog import Catalog, CatalogError
+from ..plans.catalog import Catalog, CatalogError, Property
 
 COMMIT = "id string, parent string, author string, message string, at timestamp, tables map<string,string>"
 HEAD = "branch string, commit string, at timestamp, n long"
@@ -137,35 +137,52 @@ class Store:
         old = self.read(cls, self.head(branch))
         return self.write({cls: old.unionByName(rows, allowMissingColumns=True)}, branch, **note)
 
+    def with_rows(self, cls: str, rows: DataFrame, old: DataFrame) -> DataFrame:
+        """A class's rows with these in the place of those of the same key."""
+        key = list(self.catalog.get(cls).key)
+        kept = old.join(rows.select(*key), key, "left_anti").select(*old.columns)
+        return kept.unionByName(rows, allowMissingColumns=True)
+
     def update(self, cls: str, rows: DataFrame, branch: str = "main", **note) -> str:
         """Replaces documents of the same key, adds the others."""
-        d, old = self.catalog.get(cls), self.read(cls, self.head(branch))
-        kept = old.join(rows.select(*d.key), list(d.key), "left_anti").select(*old.columns)
-        return self.write({cls: kept.unionByName(rows, allowMissingColumns=True)}, branch, **note)
+        return self.write({cls: self.with_rows(cls, rows, self.read(cls, self.head(branch)))}, branch, **note)
 
-    def delete(self, cls: str, keys: DataFrame, branch: str = "main", **note) -> str:
-        """Removes documents, and subdocuments that link to them."""
-        d, head = self.catalog.get(cls), self.head(branch)
-        old = self.read(cls, head)
-        changes = {cls: old.join(keys.select(*d.key), list(d.key), "left_anti").select(*old.columns)}
+    def without(self, cls: str, keys: DataFrame, rows) -> dict[str, DataFrame]:
+        """Classes without the documents of `keys` (key: the raw key) and their subdocuments; rows(class) gives a class."""
+        d, old = self.catalog.get(cls), rows(cls)
+        out = {cls: old.withColumn("_key", d.raw_key()).join(keys.select(F.col("key").alias("_key")), "_key", "left_anti").select(*old.columns)}
         for k, sub in self.catalog.classes.items():
             for p in self.catalog.properties(k).values() if sub.subdocument and sub.frame else ():
-                if p.link == cls and len(d.key) == 1:
-                    rows = changes.get(k, self.read(k, head))
-                    gone = keys.select(F.col(d.key[0]).alias(p.column))
-                    changes[k] = rows.join(gone, p.column, "left_anti").select(*rows.columns)
-        return self.write(changes, branch, **note)
+                if p.link == cls and not p.many:
+                    of = out[k] if k in out else rows(k)
+                    out[k] = of.join(keys.select(F.col("key").alias(p.column)), p.column, "left_anti").select(*of.columns)
+        return out
 
-    def set_triples(self, cls: str, prop: str, rows: DataFrame, branch: str = "main", remove: bool = False, **note) -> str:
-        """rows (key, value): sets a property, or removes that value (adds to or takes from a multi-valued one)."""
-        d, p, old = self.catalog.get(cls), self.catalog.properties(cls)[prop], self.read(cls, self.head(branch))
-        new = old.withColumn("_key", d.raw_key()).join(rows.select(F.col("key").alias("_key"), F.col("value").alias("_value"), F.lit(True).alias("_hit")), "_key", "left")
-        c, x = F.col(p.column), F.col("_value")
+    def delete(self, cls: str, keys: DataFrame, branch: str = "main", **note) -> str:
+        """Removes documents, and subdocuments that link to them."""
+        head = self.head(branch)
+        raw = keys.select(self.catalog.get(cls).raw_key().alias("key"))
+        return self.write(self.without(cls, raw, lambda k: self.read(k, head)), branch, **note)
+
+    def with_values(self, cls: str, p: Property, pairs: DataFrame, old: DataFrame, remove: bool = False) -> DataFrame:
+        """A class's rows with the values of `pairs` (key, value) set or removed; several for one document need a multi-valued property."""
+        kind = old.schema[p.column].dataType
+        by_key = pairs.select(F.col("key").alias("_key"), F.col("value").cast(kind.elementType if p.many else kind).alias("_v")).groupBy("_key").agg(F.collect_set("_v").alias("_vs"))
+        new = old.withColumn("_key", self.catalog.get(cls).raw_key()).join(by_key, "_key", "left")
+        c, xs = F.col(p.column), F.col("_vs")
         if p.many:
-            changed = F.array_remove(c, x) if remove else F.array_append(c, x)
+            had = F.coalesce(c, F.array().cast(kind))
+            changed = F.filter(had, lambda e: ~F.array_contains(xs, e)) if remove else F.array_union(had, xs) if p.family == "set" else F.concat(had, xs)
+        elif remove:
+            changed = F.when(F.array_contains(xs, c), F.lit(None)).otherwise(c)
         else:
-            changed = F.when(c == x, F.lit(None)).otherwise(c) if remove else x
-        return self.write({cls: new.withColumn(p.column, F.when(F.col("_hit"), changed).otherwise(c)).select(*old.columns)}, branch, **note)
+            changed = F.when(F.size(xs) > 1, F.raise_error(F.lit(f"several values for {cls}.{p.name} of one document")).cast(kind)).otherwise(F.get(xs, F.lit(0)))
+        return new.withColumn(p.column, F.when(xs.isNotNull(), changed).otherwise(c)).select(*old.columns)
+
+    def set_triples(self, cls: str, prop: str, rows: DataFrame, branch: str = "main", remove: bool = False, **note) -> str:
+        """rows (key, value): sets a property, or removes that value (adds to or takes from a multi-valued one)."""
+        old = self.read(cls, self.head(branch))
+        return self.write({cls: self.with_values(cls, self.catalog.properties(cls)[prop], rows, old, remove)}, branch, **note)
 
     # -- differences ----------------------------------------------------------------------------
     def diff(self, cls: str, before: str, after: str) -> DataFrame:
@@ -248,3 +265,34 @@ class Store:
             new = self._keyed(cls, self.read(cls, theirs)).join(diff.filter("action <> 'deleted'").select("id"), "id", "left_semi")
             changes[cls] = old.join(diff.select("id"), "id", "left_anti").unionByName(new).drop("id")
         return self.write(changes, branch, **note) if changes else ours
+
+    def rebase(self, branch: str, onto: str = "main") -> str:
+        """The branch's commits since the common ancestor again, one by one, behind the head of `onto`.
+
+        They are written on a branch of their own; the branch moves when all are there. A document that
+        both sides changed is a conflict, and nothing moves.
+        """
+        ours, theirs = self.head(branch), self.head(onto)
+        line = self.ancestors(theirs)
+        mine = self.ancestors(ours)
+        base = next(c for c in mine if c in line)
+        a, b, z = (self.manifest(c).tables for c in (ours, theirs, base))
+        for cls in a:
+            if a[cls] != z.get(cls) != b.get(cls) and not self.diff(cls, base, ours).join(self.diff(cls, base, theirs), "id", "left_semi").isEmpty():
+                raise Conflict(f"{cls} changed on both sides")
+        side = f"rebase-{uuid.uuid4().hex}"
+        self._move(side, theirs)
+        before = base
+        for commit in reversed(mine[: mine.index(base)]):
+            m, was, head = self.manifest(commit), self.manifest(before).tables, self.head(side)
+            changes = {}
+            for cls in (k for k, at in m.tables.items() if was.get(k) != at):
+                diff = self.diff(cls, before, commit)
+                new = self._keyed(cls, self.read(cls, commit)).join(diff.filter("action <> 'deleted'").select("id"), "id", "left_semi")
+                changes[cls] = self._keyed(cls, self.read(cls, head)).join(diff.select("id"), "id", "left_anti").unionByName(new).drop("id")
+            self.write(changes, side, author=m.author, message=m.message)
+            before = commit
+        out = self.head(side)
+        self._move(branch, out)
+        self._move(side, "")
+        return out

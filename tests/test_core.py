@@ -256,3 +256,92 @@ def test_random_conjunctions_against_nested_loops(people):
             assert "CAST_INVALID_INPUT" in str(e) or "DATATYPE_MISMATCH" in str(e), e
             continue
         assert have == sorted(tuple(f[k] for k in names) for f in found)
+
+
+def test_writes_of_a_query_are_one_commit(spark, sf):
+    from loomgraph.plans.catalog import tpch
+
+    s = Session(spark, store=queries._store(Session(spark, tpch(spark, sf)), "Region", "Nation"))
+    old = {r.n_nationkey: r for r in s.store.read("Nation", s.commit).collect()}
+    europe = And(Triple(x, "region", Iri("Region/3")), Triple(x, "n_name", y), A.Lower(y, z))
+    s.write(
+        And(
+            europe,
+            A.InsertDocument({"@type": "Region", "@id": Iri("Region/7"), "r_name": "New"}),
+            A.AddLink(x, "region", Iri("Region/7")),
+            A.Using("branch/main", A.AddData(x, "n_name", z)),
+            A.DeleteDocument(Iri("Region/4")),
+            A.UpdateDocument(A.Dict([("@type", "Region"), ("r_regionkey", 0), ("r_name", "Zero")])),
+        ),
+        message="all",
+    )
+    assert [r.message for r in s.store.log().collect()] == ["all", "create"] and not s.drifted()
+    regions = {r.r_regionkey: r.r_name for r in s.store.read("Region", s.commit).collect()}
+    assert sorted(regions) == [0, 1, 2, 3, 7] and regions[0] == "Zero" and regions[7] == "New"
+    for r in s.store.read("Nation", s.commit).collect():
+        was = old[r.n_nationkey]
+        assert (r.n_name, r.n_regionkey) == ((was.n_name.lower(), 7) if was.n_regionkey == 3 else (was.n_name, was.n_regionkey))
+    s.write(And(Triple(x, "region", Iri("Region/7")), Triple(x, "n_name", y), A.DeleteData(x, "n_name", y)))
+    assert s.store.read("Nation", s.commit).filter("n_name is null").count() == sum(r.n_regionkey == 3 for r in old.values())
+
+
+@pytest.mark.parametrize(
+    ("query", "error"),
+    [
+        (A.InsertDocument({"@type": "Region", "r_regionkey": 1, "r_name": "twice"}), "is there"),
+        (A.InsertDocument({"@type": "Region", "r_regionkey": 9}), "missing"),
+        (A.InsertDocument({"@type": "Region", "r_name": "no key"}), "needs its key"),
+        (A.AddTriple(Iri("Region/1"), "colour", "red"), "no property"),
+        (A.AddTriple(Iri("Region/1"), "r_regionkey", 2), "part of the key"),
+        (A.AddTriple(Iri("Region/1"), "r_name", y), "nothing binds"),
+        (A.Using("commit/abc", A.DeleteDocument(Iri("Region/1"))), "a commit"),
+        (And(Triple(x, "r_name", y), A.AddData(Iri("Region/1"), "r_name", y)), "several values"),
+    ],
+)
+def test_refused_writes_leave_no_commit(regions, query, error):
+    with pytest.raises(Exception, match=error):
+        regions.write(query)
+    assert not regions.drifted()
+
+
+@pytest.fixture(scope="module")
+def regions(spark, sf):
+    from loomgraph.plans.catalog import tpch
+
+    return Session(spark, store=queries._store(Session(spark, tpch(spark, sf)), "Region"))
+
+
+def test_multi_valued_writes(spark, tmp_path):
+    from loomgraph.sources.versions import Store
+
+    held = spark.createDataFrame([("P/1", ["a"], ["a", "a"]), ("P/2", None, None)], "iri string, tags array<string>, notes array<string>")
+    store = Store(spark, str(tmp_path / "s"), Catalog().add(ClassDef("P", properties=(Property("tags", "tags", family="set"), Property("notes", "notes", family="list")), frame=lambda: held)))
+    store.create()
+    s = Session(spark, store=store)
+    both = And(IsA(x, "P"), A.Member(y, ["a", "b"]))
+    s.write(And(both, A.AddData(x, "tags", y), A.AddData(x, "notes", y)))
+    got = {r.iri: (sorted(r.tags), sorted(r.notes)) for r in store.read("P", s.commit).collect()}
+    assert got == {"P/1": (["a", "b"], ["a", "a", "a", "b"]), "P/2": (["a", "b"], ["a", "b"])}
+    s.write(A.DeleteData(Iri("P/1"), "notes", "a"))
+    assert {r.iri: sorted(r.notes) for r in store.read("P", s.commit).collect()} == {"P/1": ["b"], "P/2": ["a", "b"]}
+
+
+def test_rebase(spark, sf):
+    from loomgraph.plans.catalog import tpch
+    from loomgraph.sources.versions import Conflict
+
+    store = queries._store(Session(spark, tpch(spark, sf)), "Region", "Nation")
+    row = lambda k, text: spark.createDataFrame([(k, text)], "r_regionkey int, r_name string")
+    store.branch("work")
+    store.update("Region", row(1, "a"), "work", message="first")
+    store.delete("Region", row(2, "").select("r_regionkey"), "work", message="second")
+    store.update("Region", row(3, "c"), "main", message="theirs")
+    store.rebase("work")
+    assert [r.message for r in store.log("work").orderBy("n").collect()] == ["second", "first", "theirs", "create"]
+    now = {r.r_regionkey: r.r_name for r in store.read("Region", store.head("work")).collect()}
+    assert now[1] == "a" and now[3] == "c" and 2 not in now and sorted(store.branches()) == ["main", "work"]
+    store.update("Region", row(1, "z"), "main")
+    at = store.head("work")
+    with pytest.raises(Conflict):
+        store.rebase("work")
+    assert store.head("work") == at
