@@ -10,7 +10,7 @@ vector that a third of all rows share costs as much as any other.
 
 Embeddings become codes by the sign of each of up to 64 numbers (null and NaN count as not positive); a
 null embedding has no code: it is neither found nor a query. Ties go to the smaller id; a query finds
-itself. With fewer than k rows all are returned. Repeated ids count once a code.
+itself. With fewer than k rows all are returned. Repeated rows are rows each; rows with a null id aren't found.
 """
 
 from __future__ import annotations

@@ -151,7 +151,7 @@ def links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
             for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(anchor)], strict=True):
                 s, f = side[lo:hi], fp[lo:hi].view(np.uint64)
                 homes = f[s == 1]
-                if len(homes) and hi - lo > 2:
+                if len(homes):
                     out += forest(homes, f[s == 0])
             e = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
             return e[:, 0].tolist(), e[:, 1].tolist()

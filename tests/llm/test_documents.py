@@ -270,6 +270,12 @@ def test_anchor_links_miss_nothing(spark):
         assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(want.values()))
 
 
+def test_links_of_units_with_one_home_and_one_visitor(spark):
+    df = spark.createDataFrame([(8,), (9,), (1 << 40,)], "fp long")
+    edges = {frozenset((e.fp_a, e.fp_b)) for e in simhash.links(df, 1).collect()}
+    assert edges == {frozenset((8, 9)), frozenset((8, 1 << 40)), frozenset((9, 1 << 40))}
+
+
 def test_components_of_a_chain(spark):
     n = 300
     nodes = spark.createDataFrame([(k, (k * 7919) % n) for k in range(n)], "node long, label long")
