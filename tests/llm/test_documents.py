@@ -271,9 +271,9 @@ def test_anchor_links_miss_nothing(spark):
 
 
 def test_links_of_units_with_one_home_and_one_visitor(spark):
-    df = spark.createDataFrame([(8,), (9,), (1 << 40,)], "fp long")
-    edges = {frozenset((e.fp_a, e.fp_b)) for e in simhash.links(df, 1).collect()}
-    assert edges == {frozenset((8, 9)), frozenset((8, 1 << 40)), frozenset((9, 1 << 40))}
+    pairs = [(x, x ^ 1 << k) for k, x in enumerate(np.random.default_rng(9).integers(0, 2**62, 40).tolist())]
+    df = spark.createDataFrame([(x,) for pair in pairs for x in pair], "fp long")
+    assert {frozenset((e.fp_a, e.fp_b)) for e in simhash.links(df, 1).collect()} == set(map(frozenset, pairs))
 
 
 def test_components_of_a_chain(spark):
