@@ -51,6 +51,22 @@ def test_host_boilerplate_goes(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_large_host_loses_the_same_boilerplate(spark):
+    """Runs on two pages only of a host, wherever its pages are dealt; an article repeats what a bare page says."""
+    words = lambda seed, n: " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 10**6, n))
+    rows = [(k, f"https://h.example/{k}", f"<body><div>{words(k, 20)}</div><div>{words(1000 + k // 2, 12)}</div></body>") for k in range(24)]
+    rows += [(50, "https://h.example/50", f"<article>{words(0, 20)}</article>"), (None, "https://h.example/x", f"<div>{words(1, 20)}</div>"), rows[5], (7, "https://h.example/7b", "")]
+    rows += [(60 + k, f"https://g.example/{k}", f"<div>{words(1000, 12)}</div>") for k in range(1)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    key = lambda r: (r.page_id or -1, r.url, r.text, r.n_chars)
+    whole = sorted(map(key, html_text.extract(df).collect()))
+    assert len(whole) == len(rows)
+    texts = {u: t for _, u, t, _ in whole}
+    assert texts["https://h.example/0"] == "" and texts["https://h.example/1"] == "" and texts["https://h.example/9"] == words(9, 20) and texts["https://g.example/0"] == words(1000, 12)
+    for shard in (1, 3):
+        assert sorted(map(key, html_text.extract(df, shard).collect())) == whole
+
+
 def test_article_of_test_pages(spark, sf):
     import html
     import re
