@@ -67,6 +67,15 @@ def test_large_host_loses_the_same_boilerplate(spark):
         assert sorted(map(key, html_text.extract(df, shard).collect())) == whole
 
 
+def test_unique_words_of_a_block_stay(spark):
+    notice = "This article gives general information and is no advice of any kind"
+    rows = [(k, f"https://h.example/{k}", f"<div>{notice} author{k} today{k}</div><p><a href=x>Everything unique{k} is linked here{k}</a> x{k}</p><div>one{k} {notice}</div>") for k in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for shard in (512, 1):
+        got = {r.page_id: r.text for r in html_text.extract(df, shard).collect()}
+        assert got == {k: f"author{k} today{k}\nEverything unique{k} is linked here{k} x{k}\none{k}" for k in range(3)}
+
+
 def test_article_of_test_pages(spark, sf):
     import html
     import re
