@@ -74,9 +74,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     table = {r.digest: r.license for r in known(docs.sparkSession).collect()}
     digests = F.create_map(*[F.lit(x) for kv in sorted(table.items()) for x in kv])
-    # a line can only match if it has the canonical length of a known text; hash those alone
-    sizes = sorted({len(t) for texts in KNOWN.values() for t in texts if "\n" not in t})
-    lines = F.filter(F.split(F.col("text"), "\n"), lambda x: F.length(x).between(sizes[0] // 2, 2 * sizes[-1]) & F.lower(x).rlike("licen[cs]|public domain|free software"))
+    # a notice may be padded or boxed, so the length of a line says nothing
+    lines = F.filter(F.split(F.col("text"), "\n"), lambda x: F.lower(x).rlike("licen[cs]|public domain|free software"))
     found = F.filter(F.transform(lines, lambda x: F.element_at(digests, F.sha2(canonical(x), 256))), lambda x: x.isNotNull())
     digest = F.sha2(canonical(F.col("text")), 256)
     return (

@@ -382,3 +382,9 @@ def test_licences(spark, odd, none):
     assert [got[k].license for k in (1, 2, 3, 4)] == ["MIT", None, "MIT", None] and got[4].line_licenses == "MIT"
     many = {r.doc_id: r for r in licences.scan(odd).collect()}
     assert many[12].line_licenses == "Apache-2.0" and many[1].digest == many[2].digest and licences.scan(none).count() == 0
+
+
+def test_padded_licence_line(spark):
+    rows = [(1, "x\n/*" + " " * 600 + "Released under the MIT License." + "-" * 300 + "*/\ny"), (2, "x\n" + "Released under the MIT License. " * 20)]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].line_licenses, got[1].n_license_lines, got[2].line_licenses) == ("MIT", 1, "")
