@@ -18,10 +18,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of a group the row with the smallest doc_id stays; of repeated rows with that id one."""
-    groups = simhash.near_duplicates(docs)
-    keep = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of a group the row with the smallest doc_id stays; of repeated rows with that id in the group one."""
+    keep = simhash.survivors(docs)
+    keyed = docs.withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    kept = keyed.join(keep, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]).drop("key")
     return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
 
 

@@ -53,15 +53,16 @@ def fingerprint(text: str, n: int = 3) -> int:
 
 
 def fingerprinted(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
+    """doc_id, fp (the fingerprint as a signed long), key (XXH64 of the text, as Spark's xxhash64)."""
     ship(docs.sparkSession)
 
     def run(batches):
         for ids, texts in texts_of(batches):
             fps = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
-            yield record_batch({"doc_id": (ids, pa.int64()), "fp": (fps.tolist(), pa.int64())})
+            keys = np.array([xxhash.xxh64_intdigest(t.encode(), SEED) for t in texts], np.uint64).view(np.int64)
+            yield record_batch({"doc_id": (ids, pa.int64()), "fp": (fps.tolist(), pa.int64()), "key": (keys.tolist(), pa.int64())})
 
-    return id_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return id_text(docs).mapInArrow(run, "doc_id long, fp long, key long")
 
 
 # position p (1 to 31) of the code is bit p - 1; a word is in the code if the XOR of its set positions is 0
@@ -211,12 +212,29 @@ def components(nodes_min: DataFrame, edges: DataFrame) -> DataFrame:
             return state.withColumnRenamed("label", "root")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of its component; a null doc_id is itself)."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, fp, key, root: the component's least (none, id, fp), by a fingerprint's smallest doc_id (none = 1 and id 0 if all are null).
+
+    A label is of one fingerprint alone, so fingerprints without an id link others as well, and components
+    that share a repeated doc_id stay apart.
+    """
     scratch(docs.sparkSession)
     rows = materialise(fingerprinted(docs), "fingerprints")
-    classes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("label")), "classes")
+    least = rows.groupBy("fp").agg(F.min("doc_id").alias("id"))
+    label = F.struct(F.col("id").isNull().cast("int").alias("none"), F.coalesce("id", F.lit(0).cast("long")).alias("id"), F.col("fp").alias("fp"))
+    classes = materialise(least.select("fp", label.alias("label")), "classes")
     found = materialise(links(classes.select("fp")), "links")
-    roots = components(classes.filter("label is not null").select(F.col("fp").alias("node"), "label"), found.select(F.col("fp_a").alias("u"), F.col("fp_b").alias("v")))
-    named = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "label").alias("component_id"))
-    return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    roots = components(classes.select(F.col("fp").alias("node"), "label"), found.select(F.col("fp_a").alias("u"), F.col("fp_b").alias("v")))
+    named = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "label").alias("root"))
+    return rows.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of its component; null if it has none)."""
+    return grouped(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.when(F.col("root.none") == 0, F.col("root.id")).alias("component_id"))
+
+
+def survivors(docs: DataFrame) -> DataFrame:
+    """doc_id, key (xxhash64 of the text): one for each component with a doc_id, of its smallest one."""
+    first = grouped(docs).filter((F.col("root.none") == 0) & (F.col("doc_id") == F.col("root.id")) & (F.col("fp") == F.col("root.fp")))
+    return first.groupBy("doc_id", "fp").agg(F.min("key").alias("key")).select("doc_id", "key")

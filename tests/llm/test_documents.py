@@ -235,6 +235,23 @@ def test_near_duplicates(docs, texts, odd, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_groups_go_through_rows_without_id(spark, monkeypatch):
+    """9 - null - 3 - null in a chain of 3 bits each; 5 has two texts, one near 2 and one with a copy 6 bits off that is near it."""
+    import corpus_pipeline
+
+    prints = {"a": 0, "b": 7, "c": 63, "d": 511, "p": 0x7FFF << 40, "q": (0x7FFF << 40) ^ 7, "r": 0x5555 << 20, "s": (0x5555 << 20) ^ 3}
+    rows = [(9, "a"), (None, "b"), (3, "c"), (None, "d"), (2, "p"), (5, "q"), (5, "r"), (5, "r"), (8, "s")]
+    keys = {t: xxhash.xxh64_intdigest(t.encode(), 42) for t in prints}
+    signed = lambda x: int(np.uint64(x).astype(np.int64))
+    held = spark.createDataFrame([(i, signed(prints[t]), signed(keys[t])) for i, t in rows], "doc_id long, fp long, key long")
+    monkeypatch.setattr(simhash, "fingerprinted", lambda docs: held)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert got == {(i, f"{prints[t]:016x}"): {"a": 3, "b": 3, "c": 3, "d": 3, "p": 2, "q": 2, "r": 5, "s": 5}[t] for i, t in rows}
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, "b"), (0, "d"), (2, "p"), (3, "c"), (5, "r")]
+
+
 def test_anchor_links_miss_nothing(spark):
     rng = np.random.default_rng(5)
     codes = set()
