@@ -194,6 +194,37 @@ def test_fingerprint_is_homomorphic(spark):
     assert [x + y for x, y in zip(got[3].lanes, got[4].lanes)] == got[1].lanes
 
 
+def test_paragraphs_of_the_same_pairs_differ(spark):
+    rows = [(1, "x b x c x"), (2, "x c x b x"), (3, "a b a c a\nq"), (4, "a c a b a\nq"), (5, "q\na b a c a"), (6, "q"), (7, "q\nq"), (8, "")]
+    got = {r.doc_id: r.fingerprint for r in fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"], "text").collect()}
+    assert got[3] == got[5] and len(set(got.values())) == len(rows) - 1
+
+
+def test_paragraphs_put_in_and_taken_out(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("whole", "a b\nc d e\nc d e\n"), ("part", "c d e"), ("rest", "a b\n\nc d e")]
+    got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id string, text string"), ["doc_id"], "text").select("doc_id", "vector", "fingerprint")
+    w, p, r = (got.filter(F.col("doc_id") == k).select(F.col("vector").alias(k), F.col("fingerprint").alias(f"{k}_text")) for k in ("whole", "part", "rest"))
+    row = w.join(p).join(r).select(
+        fingerprint.hex_text(fingerprint.minus(F.col("whole"), F.col("part"))).alias("less"), fingerprint.hex_text(fingerprint.plus(F.col("rest"), F.col("part"))).alias("more"), "whole_text", "rest_text",
+    ).first()
+    assert row.less == row.rest_text and row.more == row.whole_text
+
+
+def test_fingerprints_of_many_ranges(spark):
+    """Ranges of a few rows, one id with many texts, rows without id: every row meets its next one."""
+    rows = [(k // 2, f"text {k} " * (k % 5)) for k in range(60)] + [(7, f"seven {k}") for k in range(40)] + [(None, f"none {k}") for k in range(9)] + [(7, "seven 3")] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = lambda t: int(np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1]), r[1]))
+    first = next(r for r in order if r[0] is not None)
+    want = sorted((i if i is not None else -1, hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest()) for (i, t), (_, n) in zip(order, [*order[1:], first]))
+    for size in (1, 4, 1000):
+        got = fingerprint.edit_likeness(df, size).collect()
+        assert sorted((r.doc_id if r.doc_id is not None else -1, r.edited_sha256) for r in got) == want
+
+
 def plain_simhash(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
     if not words:
