@@ -21,6 +21,27 @@ def test_odd_html(page):
     assert isinstance(html_text.main_text(found, [0.0] * len(found)), str)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article>Main</article><section class="comments"><article class="comment">Reader says hi</article></section>', "Main"),
+        ('<article>Main<article class="comment">Reader</article> and more</article>', "Main\nand more"),
+        ('<article>Main</article><article class="comment-body">Reader</article><article>Second</article>', "Main\nSecond"),
+        ('<article>Main</article><section id="comments"><article>Reader</article></section>', "Main"),
+        ('<article>Main<div class="post-comments"><article>Reader</article></div></article><div class="related"><article>Teaser</article></div>', "Main"),
+        ('<div class="related"><article>Teaser</article></div><main class="with-sidebar"><p>Main</p></main>', "Main"),
+        ('<body class="has-sidebar cookie"><div class="ad">Buy</div><article class="post category-ads"><header class="entry-header"><h1>Head</h1></header><p>Main</p></article></body>', "Head\nMain"),
+        ('<div id="wrap"><div class="advert">Buy now<article>Main</article></div>', "Main"),  # a box that is never closed
+        ('<div class="advert">Buy now <article>Offer</article></div><p>Rest</p>', "Rest"),
+        ('<div class="comments"><article>Reader</article><p>x', ""),
+        ('<div class="cookie-notice">We use <article>Main</article><section class="comments"><article>Reader</article></section>', "Main"),
+    ],
+)
+def test_articles_in_marked_boxes(page, text):
+    found = html_text.blocks(page)
+    assert html_text.main_text(found, [0.0] * len(found)) == text
+
+
 def test_repeats_against_brute_force():
     rng = np.random.default_rng(2)
     for _ in range(60):
@@ -115,6 +136,15 @@ def test_sign_codes(spark):
     assert got == {1: 5, 3: 0, 4: 2, 5: -1}
 
 
+def test_long_embeddings_are_folded(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=n).round(3).tolist()) for k, n in enumerate((65, 128, 200, 64))]
+    got = {r.vec_id: r.code for r in hamming.sign_codes(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    for k, e in rows:
+        sums = [sum(float(np.float32(x)) for x in e[b::64]) for b in range(64)]
+        assert np.int64(got[k]).view(np.uint64) == sum(1 << b for b, x in enumerate(sums) if x > 0)
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline as cp
 
