@@ -78,12 +78,14 @@ def likeness(n: Column, lanes: Column, other_n: Column, other_lanes: Column) ->
 
 def fingerprints(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """keys, units, lanes (array), vector (array: all numbers modulo 2^32), fingerprint (its hex) for each row; keys must tell rows apart."""
-    # before the explode, or it would be reckoned for every unit
-    summed = rows.select(*keys, paragraph_sums(F.col(text)).alias("_exact"), units(F.col(text)).alias("_units"))
+    # before the explode, or it would be reckoned for every unit; as bytes, since every unit's row carries it
+    packed = F.unhex(hex_text(paragraph_sums(F.col(text))))
+    summed = rows.select(*keys, packed.alias("_exact"), units(F.col(text)).alias("_units"))
     exploded = summed.select(*keys, "_exact", F.explode_outer("_units").alias("_unit"))
     out = exploded.groupBy(*keys, "_exact").agg(F.count("_unit").alias("units"), *lane_sums(F.col("_unit")))
     lanes = F.array(*[F.col(f"lane{k}") for k in range(LANES)])
-    whole = F.concat("_exact", F.transform(F.concat(F.array("units"), lanes), lambda x: F.pmod(x, F.lit(MOD))))
+    exact = F.array(*[F.conv(F.hex(F.substring("_exact", 4 * k + 1, 4)), 16, 10).cast("long") for k in range(1 + EXACT)])
+    whole = F.concat(exact, F.transform(F.concat(F.array("units"), lanes), lambda x: F.pmod(x, F.lit(MOD))))
     return out.select(*keys, "units", lanes.alias("lanes"), whole.alias("vector"), hex_text(whole).alias("fingerprint"))
 
 
