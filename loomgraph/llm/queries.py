@@ -79,30 +79,55 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _sql_canonical(x: str) -> str:
-    copyright_line = r"(?m)^[ \t]*(copyright|\(c\)|©)([ \t]*(\(c\)|©|copyright))?[ \t]+([0-9]{4}|by )[^\n]*$"
-    out = f"' ' || regexp_replace(regexp_replace(lower({x}), {_sql_text(copyright_line)}, ' ', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
+def _sql_spelled(x: str, several: bool = False) -> str:
     for a, b in licences.SPELLINGS:
-        out = f"replace(replace({out}, ' {a} ', ' {b} '), ' {a} ', ' {b} ')"
-    return f"trim({out})"
+        if not several or " " in a:
+            x = f"replace(replace({x}, ' {a} ', ' {b} '), ' {a} ', ' {b} ')"
+    return x
+
+
+def _sql_plain(x: str) -> str:
+    words = f"regexp_replace(regexp_replace(lower({x}), {_sql_text(licences.COPYRIGHT)}, ' ', 'g'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    return _sql_spelled(f"' ' || replace({words}, chr(10), ' ' || chr(10) || ' ') || ' '")
+
+
+def _sql_units(x: str, mark: str) -> str:
+    return f"list_filter(list_transform(string_split({x}, {mark}), lambda x: trim(x)), lambda x: x <> '')"
+
+
+def _sql_paragraphs(x: str) -> str:
+    joined = f"regexp_replace(replace(regexp_replace({x}, '\\n[ \\n]*\\n', ' ' || chr(1) || ' ', 'g'), chr(10), ' '), ' +', ' ', 'g')"
+    return _sql_units(_sql_spelled(joined, True), "chr(1)")
 
 
 OP8_SQL = f"""
-WITH known AS (
-  SELECT DISTINCT sha256({_sql_canonical('t')}) AS digest, license FROM (VALUES
-    {', '.join(f'({_sql_text(k)}, {_sql_text(t)})' for k, ts in licences.KNOWN.items() for t in ts)}
-  ) v(license, t)
-), docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-whole AS (SELECT doc_id, sha256({_sql_canonical('text')}) AS digest FROM docs),
-lines AS (
-  SELECT doc_id, license FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
-  JOIN known ON sha256({_sql_canonical('line')}) = known.digest
-  WHERE regexp_matches(lower(line), 'licen[cs]|public domain|free software')
-), found AS (
-  SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses, count(*) AS n FROM lines GROUP BY doc_id
+WITH given AS (
+  SELECT license, titled, {_sql_plain('t')} AS p FROM (VALUES
+    {', '.join(f'({_sql_text(k)}, {_sql_text(t)}, {n})' for n, known in ((0, licences.KNOWN), (1, licences.TITLED)) for k, ts in known.items() for t in ts)}
+  ) v(license, t, titled)
+), parted AS (SELECT license, titled, {_sql_paragraphs('p')} AS ps FROM given),
+texts AS (SELECT license, titled, len(ps) AS k, sha256(ps[1]) AS first, sha256(array_to_string(ps, ' ')) AS whole FROM parted),
+long_texts AS (SELECT * FROM (VALUES ('', 0, '', ''), {', '.join(f"('{a}', {k}, '{f}', '{w}')" for a, k, _, f, w in licences.DIGESTS)}) v(license, k, first, whole)),
+runs AS (
+  SELECT license, k, first, whole FROM texts WHERE titled = 0 UNION SELECT license, 1, whole, whole FROM texts WHERE titled = 0
+  UNION SELECT license, k, first, whole FROM long_texts
+), single AS (SELECT whole AS digest, min(license) AS license FROM texts WHERE titled = 0 GROUP BY whole),
+wholes AS (SELECT whole AS digest, min(license) AS license FROM (SELECT license, whole FROM texts UNION SELECT license, whole FROM long_texts) GROUP BY whole),
+docs AS (SELECT row_number() OVER () AS row, doc_id, {_sql_plain("coalesce(text, '')")} AS p FROM documents),
+cut AS (SELECT row, doc_id, {_sql_units('p', 'chr(10)')} AS ls, {_sql_paragraphs('p')} AS ps FROM docs),
+units AS (
+  SELECT row, 'line' AS kind, unnest(ls) AS unit, generate_subscripts(ls, 1) AS i FROM cut
+  UNION ALL SELECT row, 'paragraph', unnest(ps), generate_subscripts(ps, 1) FROM cut
+), lone AS (
+  SELECT row, string_agg(DISTINCT license, ',' ORDER BY license) AS found, count(*) AS n FROM units JOIN single ON sha256(unit) = digest WHERE kind = 'line' GROUP BY row
+), whole_runs AS (
+  SELECT row, string_agg(DISTINCT license, ',' ORDER BY license) AS found
+  FROM (SELECT u.*, r.license, r.k, r.whole FROM units u JOIN runs r ON sha256(u.unit) = r.first) h JOIN cut USING (row)
+  WHERE h.k = 1 OR sha256(array_to_string((CASE kind WHEN 'line' THEN ls ELSE ps END)[i:i + k - 1], ' ')) = whole
+  GROUP BY row
 )
-SELECT w.doc_id, w.digest, k.license, coalesce(f.line_licenses, '') AS line_licenses, coalesce(f.n, 0) AS n_license_lines
-FROM whole w LEFT JOIN known k USING (digest) LEFT JOIN found f ON f.doc_id = w.doc_id
+SELECT c.doc_id, sha256(array_to_string(c.ps, ' ')) AS digest, w.license, coalesce(l.found, '') AS line_licenses, coalesce(l.n, 0) AS n_license_lines, coalesce(r.found, '') AS text_licenses
+FROM cut c LEFT JOIN wholes w ON w.digest = sha256(array_to_string(c.ps, ' ')) LEFT JOIN lone l ON l.row = c.row LEFT JOIN whole_runs r ON r.row = c.row
 """
 
 _CODE_SQL = "SELECT vec_id, list_reduce(list_prepend(0::UBIGINT, list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << (i - 1)::UBIGINT) ELSE 0::UBIGINT END)), lambda a, b: a | b) AS code FROM embeddings"
