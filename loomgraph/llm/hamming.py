@@ -1,35 +1,38 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
 Codes of 64 bits are cut into m segments. Rows within Hamming distance m * (r + 1) - 1 of a query agree
-with it in some segment up to r bits. Each round grows the segment radius r by one: queries probe the
-segment index with every value in that ball, candidates are verified on the whole code, and a query is
-done as soon as k rows are known within m * (r + 1) - 1, when its kth distance is provably covered.
+with it in some segment up to r bits. Round r probes the segment index with the values exactly r bits off
+(a shell, whose masks are a constant of the plan), so no probe is made twice. What a probe meets is
+verified on the whole code, and only where no segment is nearer and no earlier one as near, so a row is met
+once in all rounds. The k nearest rows of a query found so far are kept between rounds, and it is done as
+soon as k rows are known within m * (r + 1) - 1, when its kth distance is provably covered.
 
 Equal codes count once while searching (with their k smallest ids), for rows and for queries, so a
 vector that a third of all rows share costs as much as any other.
 
-Embeddings become codes by the sign of each of up to 64 numbers (null and NaN count as not positive); a
-null embedding has no code: it is neither found nor a query. Ties go to the smaller id; a query finds
-itself. With fewer than k rows all are returned. Repeated rows are rows each; rows with a null id aren't found.
+Embeddings become codes by the signs of 64 numbers (null and NaN count as zero, zero as not positive); of a
+longer embedding the numbers 64 places apart are added up first. A null embedding has no code: it is
+neither found nor a query. Ties go to the smaller id; a query finds itself. With fewer than k rows all are
+returned. Repeated rows are rows each; rows with a null id aren't found. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
 
-CODE = "aggregate(transform(slice(embedding, 1, 64), (x, i) -> if(x > 0 and not isnan(x), shiftleft(1L, i), 0L)), 0L, (a, b) -> a | b)"
+_CLEAN = "transform(embedding, x -> if(x is null or isnan(x), 0D, double(x)))"
+_FOLDED = f"if(size(embedding) <= 64, {_CLEAN}, transform(sequence(0, 63), i -> aggregate(filter({_CLEAN}, (x, j) -> j % 64 = i), 0D, (a, x) -> a + x)))"
+CODE = f"aggregate(transform({_FOLDED}, (x, i) -> if(x > 0, shiftleft(1L, i), 0L)), 0L, (a, b) -> a | b)"
 
 
 def sign_codes(rows: DataFrame) -> DataFrame:
     """vec_id, code."""
-    wide = rows.filter("size(embedding) > 64").limit(1).count()
-    if wide:
-        raise ValueError("codes have 64 bits: project longer embeddings first")
     return rows.filter("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.expr(CODE).alias("code"))
 
 
@@ -41,6 +44,11 @@ def segments(n: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
+def shell(bits: int, r: int) -> Column:
+    """All masks of r set bits among the lowest `bits`, at most C(20, 10) of them: a constant when planned."""
+    return F.split(F.lit(",".join(str(sum(1 << b for b in c)) for c in combinations(range(bits), r))), ",").cast("array<bigint>")
+
+
 def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), vec_id, distance. codes: vec_id, code; queries: query_id, code."""
     spark = codes.sparkSession
@@ -48,33 +56,46 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     firsts = codes.filter("vec_id is not null").select("code", "vec_id").withColumn("nth", F.row_number().over(by_code)).filter(F.col("nth") <= k)
     firsts = materialise(firsts, "codes")
     classes = materialise(firsts.groupBy("code").agg(F.count("*").alias("ids"), F.min("vec_id").alias("least")), "classes")
-    n = classes.count()
-    parts = segments(n)
-    m = len(parts)
+    parts = segments(classes.count())
+    m, widest = len(parts), max(b for _, b in parts)
     value = lambda col, a, b: F.shiftrightunsigned(col, a).bitwiseAND(F.lit((1 << b) - 1).cast("long"))
     seg = lambda col: F.posexplode(F.array(*[value(col, a, b) for a, b in parts])).alias("seg", "value")
     index = materialise(classes.select("code", "ids", "least", seg(F.col("code"))), "segments")
-    todo = materialise(queries.select("code").distinct().withColumnRenamed("code", "q"), "queries")
+    todo = materialise(queries.select(F.col("code").alias("q")).distinct(), "queries")
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    done = None
-    for r in range(max(b for _, b in parts) + 1):
-        reach = m * (r + 1) - 1
-        balls = F.array(*[F.expr(f"filter(sequence(0L, {(1 << b) - 1}L), x -> bit_count(x) <= {r})") for _, b in parts])
-        probes = todo.repartition(spread, "q").select("q", seg(F.col("q"))).select("q", "seg", F.explode(F.get(balls, F.col("seg"))).alias("mask"), "value").select("q", "seg", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-        # a size estimate doesn't see how many probes a ball makes, so the join is a merge: never a broadcast of probes
-        met = probes.join(index.hint("merge"), ["seg", "value"]).withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("code")))).filter(F.col("distance") <= reach)
-        near = met.groupBy("q", "code").agg(F.first("distance").alias("distance"), F.first("ids").alias("ids"), F.first("least").alias("least"))
+    off = F.col("q").bitwiseXOR(F.col("code"))
+    apart = [F.bit_count(value(off, a, b)) for a, b in parts]
+    held = done = None
+    for r in range(widest + 1):
+        reach, last = m * (r + 1) - 1, r == widest
+        masks = None
+        for bits in sorted({b for _, b in parts}):
+            mine = shell(bits, r) if r <= bits else F.array().cast("array<bigint>")
+            masks = mine if masks is None else F.when(F.col("seg").isin([s for s, (_, b) in enumerate(parts) if b == bits]), mine).otherwise(masks)
+        probes = todo.repartition(spread, "q").select("q", seg(F.col("q"))).select("q", "seg", "value", F.explode(masks).alias("mask")).select("q", "seg", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
+        # a size estimate doesn't see how many probes a shell makes, so the join is a merge: never a broadcast of probes
+        met = probes.join(index.hint("merge"), ["seg", "value"])
+        # not met before: no segment is nearer, and none before this one is as near
+        nearer = [apart[s] < r for s in range(m)]
+        as_near = [(F.col("seg") > s) & (apart[s] == r) for s in range(m)]
+        seen = F.lit(False)
+        for x in (*nearer, *as_near):
+            seen = seen | x
+        new = met.filter(~seen).select("q", "code", F.bit_count(off).alias("distance"), "ids", "least")
+        known = new if held is None else held.join(todo, "q", "left_semi").unionByName(new)
         order = Window.partitionBy("q").orderBy("distance", "least")
-        best = near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
-        last = r == max(b for _, b in parts)
-        enough = best.withColumn("have", F.sum("ids").over(Window.partitionBy("q")))
-        found = materialise((enough if last else enough.filter(F.col("have") >= k)).select("q", "code", "distance"), "found")
+        best = known.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k).drop("nth")
+        sure = F.sum(F.when(F.col("distance") <= reach, F.col("ids")).otherwise(0)).over(Window.partitionBy("q"))
+        held = materialise(best.withColumn("sure", sure), "held")
+        enough = held if last else held.filter(F.col("sure") >= k)
+        found = enough.select("q", "code", "distance")
         done = found if done is None else done.unionByName(found)
         if last:
             break
-        todo = materialise(todo.join(found.select("q").distinct(), "q", "left_anti"), "queries")
+        todo = materialise(todo.join(enough.select("q").distinct(), "q", "left_anti"), "queries")
         if not todo.limit(1).count():
             break
+        held = held.drop("sure")
     # k classes at most a query, k ids at most a class
     by_query = Window.partitionBy("q").orderBy("distance", "vec_id")
     answers = done.join(firsts, "code").select("q", "distance", "vec_id").withColumn("rank", F.row_number().over(by_query)).filter(F.col("rank") <= k)
