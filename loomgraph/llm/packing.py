@@ -3,9 +3,10 @@
 A document is its ids and an end id. Whole windows are cut off its front; what is left goes into the
 fill level that makes the sum of squared counts of partially filled windows least, tracked in a level
 array (one count for each fill from 1 to capacity - 1). Every partition packs on its own while it
-streams, so nothing is shuffled and a lost task repeats only its own part. At the end of a partition
-the open windows are filled up from the emptiest ones (pieces may be cut), and the last one is dealt
-into power-of-two sequences, which need no padding.
+streams, so nothing is shuffled and a lost task repeats only its own part. When the open windows hold more
+than OPEN bytes, and at the end of a partition, the fullest are filled up from the emptiest ones (pieces
+may be cut); at the end the last one is dealt into power-of-two sequences, which need no padding. So a
+task holds OPEN bytes and one text, however many rests fit nowhere.
 
 Nulls and empty texts: the end id alone. Repeated rows are packed each. An empty table gives no rows.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from .common import id_text, record_batch, ship, texts_of
 from .tokens import encoder
 
-CAPACITY, END = 4096, 2
+CAPACITY, END, OPEN = 4096, 2, 16 << 20
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 _TYPES = [pa.int64()] * 8
 
@@ -31,8 +32,8 @@ _TYPES = [pa.int64()] * 8
 class Packer:
     """add() yields closed windows as (length, pieces); a piece is (doc, start, ids bytes, doc tokens)."""
 
-    def __init__(self, capacity: int = CAPACITY):
-        self.capacity = capacity
+    def __init__(self, capacity: int = CAPACITY, most: int = OPEN):
+        self.capacity, self.most, self.held = capacity, most, 0
         self.level = np.zeros(capacity + 1, np.int64)
         self.open: dict[int, list[list]] = defaultdict(list)
 
@@ -61,17 +62,22 @@ class Packer:
         if at:
             self.level[at] -= 1
         window.append((doc, whole, ids[4 * whole :], total))
+        self.held += 4 * size
         if at + size == step:
+            self.held -= 4 * step
             yield step, window
         else:
             self.level[at + size] += 1
             self.open[at + size].append(window)
+            if self.held > self.most:
+                yield from self.fill()
 
-    def finish(self):
-        """Fills the fullest open windows from the emptiest, then deals the last into powers of two."""
+    def fill(self):
+        """Fills the fullest open windows from the emptiest; one at most stays open."""
         left = [(n, w) for n in sorted(self.open, reverse=True) for w in self.open[n]]
         self.open.clear()
         self.level[:] = 0
+        self.held = 0
         first, last = 0, len(left) - 1
         while first < last:
             n, window = left[first]
@@ -93,18 +99,30 @@ class Packer:
             else:
                 left[first] = n, window
         if first == last:
-            n, pieces = left[first]
-            pieces = pieces[::-1]
-            for size in (1 << k for k in range(n.bit_length() - 1, -1, -1) if n >> k & 1):
-                window, room = [], size
-                while room:
-                    doc, start, ids, total = pieces.pop()
-                    take = min(room, len(ids) // 4)
-                    window.append((doc, start, ids[: 4 * take], total))
-                    room -= take
-                    if 4 * take < len(ids):
-                        pieces.append((doc, start + take, ids[4 * take :], total))
-                yield size, window
+            n, window = left[first]
+            self.level[n] = 1
+            self.open[n].append(window)
+            self.held = 4 * n
+
+    def finish(self):
+        """Closes all windows: the last one is dealt into powers of two."""
+        yield from self.fill()
+        for n, windows in self.open.items():
+            for pieces in windows:
+                pieces = pieces[::-1]
+                for size in (1 << k for k in range(n.bit_length() - 1, -1, -1) if n >> k & 1):
+                    window, room = [], size
+                    while room:
+                        doc, start, ids, total = pieces.pop()
+                        take = min(room, len(ids) // 4)
+                        window.append((doc, start, ids[: 4 * take], total))
+                        room -= take
+                        if 4 * take < len(ids):
+                            pieces.append((doc, start + take, ids[4 * take :], total))
+                    yield size, window
+        self.open.clear()
+        self.level[:] = 0
+        self.held = 0
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, keep_ids: bool = False) -> DataFrame:
@@ -126,6 +144,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, k
                 for doc, start, ids, total in pieces:
                     rows.append((doc, start, len(ids) // 4, zlib.crc32(ids), total, sequence, at, length, *([ids] if keep_ids else [])))
                     at += len(ids) // 4
+                if len(rows) > 1024:
+                    yield flush()
 
         def flush():
             columns = list(zip(*rows, strict=True))
@@ -134,10 +154,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, k
 
         for ids, texts in texts_of(batches):
             for doc, text in zip(ids, texts, strict=True):
-                emit(packer.add(doc, enc.encode(text) + tail))
-            if len(rows) > 4096:
-                yield flush()
-        emit(packer.finish())
+                yield from emit(packer.add(doc, enc.encode(text) + tail))
+        yield from emit(packer.finish())
         if rows:
             yield flush()
 
