@@ -12,6 +12,7 @@ rows are rows each.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -132,7 +133,7 @@ _CUE = {w: k for k, ws in CUES.items() for w in ws.split()}
 
 
 def shape(word: str) -> str:
-    return re.sub(r"a+", "a", re.sub(r"A+", "A", "".join("9" if "0" <= c <= "9" else "a" if c.islower() else "A" if c.isupper() else c for c in word[:48])))
+    return re.sub(r"a+", "a", re.sub(r"A+", "A", "".join("9" if "0" <= c <= "9" else "a" if c.islower() else "A" if c.isupper() else c for c in word)))
 
 
 def short_shape(word: str) -> str:
@@ -156,6 +157,9 @@ def features(words: list[str], i: int) -> list[str]:
     return out
 
 
+CELLS, WORDS = 1 << 15, 1 << 14  # places of a batch of sequences, and words held before they are decoded
+
+
 class Field:
     """Weights: a row of tag scores a feature, and a matrix of tag successions."""
 
@@ -173,14 +177,24 @@ class Field:
         return out
 
     def decode(self, batch: list[np.ndarray]) -> list[np.ndarray]:
-        """Viterbi over sequences of any lengths at once."""
-        if not batch:
-            return []
+        """Viterbi over sequences of any lengths: like lengths together, at most CELLS places at once (a longer one alone)."""
+        out: list = [None] * len(batch)
+        order = sorted(range(len(batch)), key=lambda k: len(batch[k]))
+        while order:
+            n = len(order)
+            while n > 1 and n * len(batch[order[n - 1]]) > CELLS:
+                n = max(1, min(n - 1, CELLS // max(1, len(batch[order[n - 1]]))))
+            part, order = order[:n], order[n:]
+            for k, path in zip(part, self._decode([batch[k] for k in part]), strict=True):
+                out[k] = path
+        return out
+
+    def _decode(self, batch: list[np.ndarray]) -> list[np.ndarray]:
         n, most = len(batch), max(map(len, batch))
         score = np.zeros((n, most, len(TAGS)))
         for k, s in enumerate(batch):
             score[k, : len(s)] = s
-        best, back = score[:, 0], np.zeros((n, most, len(TAGS)), np.int64)
+        best, back = score[:, 0], np.zeros((n, most, len(TAGS)), np.int8)
         ends = np.array([len(s) for s in batch])
         final = best.copy()
         for t in range(1, most):
@@ -288,9 +302,17 @@ def _runs(text: str):
         while (nxt := _WORDS.search(text, spans[-1][1])) and can_be(nxt.group()):
             spans.append(nxt.span())
         end = spans[-1][1]
-        before = [w for w in re.finditer(r"\S+", text[max(0, begin - 60) : begin])][-2:]
-        shift = max(0, begin - 60)
-        left = [(w.start() + shift, w.end() + shift) for w in before]
+        left, edge = [], begin
+        while len(left) < 2:  # the two words before, however long
+            stop = edge
+            while stop > 0 and text[stop - 1].isspace():
+                stop -= 1
+            if not stop:
+                break
+            edge = stop
+            while edge > 0 and not text[edge - 1].isspace():
+                edge -= 1
+            left.insert(0, (edge, stop))
         right = [nxt.span()] if nxt else []
         every = left + spans + right
         yield [text[a:b] for a, b in every], every, [False] * len(left) + [True] * len(spans) + [False] * len(right)
@@ -300,40 +322,62 @@ def _runs(text: str):
 
 def extra_spans(texts: list[str], field: Field, base: list[dict]) -> list[dict[str, list[tuple[int, int]]]]:
     out = [{k: [] for k in KINDS} for _ in texts]
-    held, where = [], []
+    held, where, words_held = [], [], 0
+
+    def decode():
+        nonlocal words_held
+        for (t, spans), path in zip(where, field.decode(held), strict=True):
+            _add(out[t], texts[t], spans, path, base[t])
+        held.clear()
+        where.clear()
+        words_held = 0
+
     for t, text in enumerate(texts):
         taken = sorted(x for v in base[t].values() for x in v)
         for words, spans, inside in _runs(text):
             # a run that the patterns cover needs no decoding: nothing could be added there
-            if all(not ok or any(a <= s and e <= b + 1 for a, b in taken) for (s, e), ok in zip(spans, inside, strict=True)):
+            if all(not ok or _covered(taken, s, e) for (s, e), ok in zip(spans, inside, strict=True)):
                 continue
             score = field.scores(words, inside)
             score[0, [j for j, x in enumerate(TAGS) if x[0] == "I"]] -= 1e6
             held.append(score)
             where.append((t, spans))
-    for at in range(0, len(held), 512):
-        for (t, spans), path in zip(where[at : at + 512], field.decode(held[at : at + 512]), strict=True):
-            k = 0
-            while k < len(path):
-                if TAGS[path[k]][0] != "B":
-                    k += 1
-                    continue
-                kind, j = TAGS[path[k]][2:], k + 1
-                while j < len(path) and TAGS[path[j]] == f"I-{kind}":
-                    j += 1
-                a, b = spans[k][0], spans[j - 1][1]
-                while a < b and texts[t][a] in _EDGE and texts[t][a] != "(":
-                    a += 1
-                while b > a and texts[t][b - 1] in _EDGE:
-                    b -= 1
-                n = len(_DIGIT.findall(texts[t][a:b]))
-                good = {"phone": 7 <= n <= 15, "card": 13 <= n <= 19, "ip": n >= 4, "email": "@" in texts[t][a + 1 : b - 1]}[kind]
-                if good and not any(a < y and x < b for v in base[t].values() for x, y in v):
-                    out[t][kind].append((a, b))
-                k = j
+            words_held += len(words)
+            if words_held > WORDS:
+                decode()
+    decode()
     return out
 
 
+def _covered(taken: list[tuple[int, int]], s: int, e: int) -> bool:
+    """Whether a span of the patterns covers a word, but for a sign at its end; taken is sorted."""
+    return any(a <= s and e <= b + 1 for a, b in taken[max(0, bisect.bisect_right(taken, (s, 1 << 62)) - len(KINDS)) :][: len(KINDS)])
+
+
+def _add(out: dict, text: str, spans: list[tuple[int, int]], path: np.ndarray, base: dict) -> None:
+    """Spans that the tags name and that meet none of the patterns'."""
+    k = 0
+    taken = [sorted(v) for v in base.values()]
+    while k < len(path):
+        if TAGS[path[k]][0] != "B":
+            k += 1
+            continue
+        kind, j = TAGS[path[k]][2:], k + 1
+        while j < len(path) and TAGS[path[j]] == f"I-{kind}":
+            j += 1
+        a, b = spans[k][0], spans[j - 1][1]
+        while a < b and text[a] in _EDGE and text[a] != "(":
+            a += 1
+        while b > a and text[b - 1] in _EDGE:
+            b -= 1
+        n = len(_DIGIT.findall(text[a:b]))
+        good = {"phone": 7 <= n <= 15, "card": 13 <= n <= 19, "ip": n >= 4, "email": "@" in text[a + 1 : b - 1]}[kind]
+        # spans of one kind don't overlap, so only the last one that begins before b can reach a
+        if good and not any(v and (p := bisect.bisect_left(v, (b, -1))) and v[p - 1][1] > a for v in taken):
+            out[kind].append((a, b))
+        k = j
+
+
 def find(texts: list[str], field: Field) -> list[tuple[dict, dict]]:
     """(pattern spans, all spans) by kind for each text."""
     base = [base_spans(t) for t in texts]
