@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from .common import id_text, record_batch, ship, texts_of
 from .tokens import CHUNKS, PIECES, SEAM, _Memo, seams
 
-TRANSITIONS, PAIRS = 800_000, 400_000
+TRANSITIONS, PAIRS = 800_000, 64 << 20  # entries; bytes
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

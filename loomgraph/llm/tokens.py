@@ -2,18 +2,20 @@
 
 Both pre-tokenisers cut a text at white space in a way that makes some pieces independent of their
 neighbours, so a piece's ids are computed once a worker process by the tokenizers library's own BPE
-model and kept as little-endian uint32 bytes. Caches are bounded and refilled, never a limit on input.
+model and kept as little-endian uint32 bytes. Caches are bounded by bytes and refilled, never a limit on
+input: a key that is long by itself is computed anew each time.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import sys
 from array import array
 
 import regex
 
-CHUNKS, PIECES = 700_000, 500_000
+CHUNKS, PIECES = 112 << 20, 80 << 20  # bytes
 
 
 def byte_alphabet() -> list[str]:
@@ -24,16 +26,24 @@ def byte_alphabet() -> list[str]:
 
 
 class _Memo(dict):
-    """A bounded dict that computes what it lacks."""
+    """A dict bounded by bytes that computes what it lacks."""
+
+    LONG = 4096  # bytes of a key and its value that aren't kept
 
     def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.held = make, most, 0
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        value = self.make(key)
+        size = sys.getsizeof(key) + sys.getsizeof(value) + 100  # with its place in the dict
+        if size > self.LONG:
+            return value
+        if self.held + size > self.most:
             self.clear()
-        value = self[key] = self.make(key)
+            self.held = 0
+        self.held += size
+        self[key] = value
         return value
 
 
