@@ -3,7 +3,7 @@
 Features: lexicon density, number and distinct lexicon words, sum of their weights, hits near a second
 person, capitals, punctuation, obfuscated hits (letters swapped for signs, spaced out or stretched), and
 length. The lexicon and its weights are learnt from one half of the training rows (words whose log odds
-are surely over CERTAIN), trees and calibration (isotonic regression on out-of-fold scores) from the
+are surely over CERTAIN, of SHORTEST letters or more, LEXICON of them at most), trees and calibration (isotonic regression on out-of-fold scores) from the
 other half, so that the trees don't trust words that stood out by chance. Labels, language, source and
 ids are no inputs.
 
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import id_text, record_batch, ship, texts_of
 
 SAMPLE, LEXICON, CERTAIN, TREES, DEPTH, RATE, FOLDS = 12_000, 400, 1.2, 60, 3, 0.15, 4
+SHORTEST = 3  # letters of a lexicon word
 
 # Second-person words and the letters that signs stand for.
 SECOND = "you your yours yourself u ur tu te toi vous votre vos du dich dir dein deine ihr euch usted ustedes ti tus vosotros"
@@ -224,7 +225,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 if i not in for_words:
                     continue
                 bad = toxic[i] > 0
-                found = {w for w in _WORD.findall(t.lower()) if 2 < len(w) < 30}
+                found = {w for w in _WORD.findall(t.lower()) if len(w) >= SHORTEST}
                 n.update((w, bad) for w in found)
             if len(n) > 500_000:
                 yield from out(n)
