@@ -24,11 +24,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where that is unset (local tests)."""
+    """The shared folder of spark.checkpoint.dir; a temporary one only where that is unset and Spark is local (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at is None:
         held = spark.sparkContext.getCheckpointDir()
         if held is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loomgraph-"))
             held = spark.sparkContext.getCheckpointDir()
         at = held
@@ -37,12 +39,39 @@ def scratch(spark: SparkSession) -> str:
     return at
 
 
+_written: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it: lineage ends, lost executors cost nothing."""
+    """Writes df as a table in the shared folder and reads it: lineage ends, lost executors cost nothing.
+
+    The table stays until release() or discard().
+    """
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table behind what materialise() gave, which nothing may read any more."""
+    path = df.written_to
+    _delete(df.sparkSession, path)
+    _written.remove(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all tables that this process has written and not discarded; results that read them must be used by then."""
+    while _written:
+        _delete(spark, _written.pop())
 
 
 def id_text(docs: DataFrame) -> DataFrame:

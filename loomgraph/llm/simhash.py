@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialise, record_batch, scratch, ship, texts_of
+from .common import discard, id_text, materialise, record_batch, scratch, ship, texts_of
 
 THRESHOLD, SEED, BLOCK = 3, 42, 4096
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -195,7 +195,7 @@ def components(nodes_min: DataFrame, edges: DataFrame) -> DataFrame:
     """
     both = materialise(edges.select("u", "v").union(edges.select(F.col("v"), F.col("u"))).distinct(), "edges")
     touched = both.select(F.col("u").alias("node")).distinct()
-    state = materialise(touched.join(nodes_min, "node").select("node", "label"), "labels")
+    held = state = materialise(touched.join(nodes_min, "node").select("node", "label"), "labels")
     holders = materialise(state.groupBy("label").agg(F.min("node").alias("holder")), "holders")
     while True:
         near = both.join(state.withColumnRenamed("node", "v").withColumnRenamed("label", "l"), "v").groupBy("u").agg(F.min("l").alias("l"))
@@ -207,8 +207,11 @@ def components(nodes_min: DataFrame, edges: DataFrame) -> DataFrame:
         )
         new = materialise(jumped, "labels")
         moved = new.filter("label < old").limit(1).count()
-        state = new.select("node", "label")
+        discard(held)
+        held, state = new, new.select("node", "label")
         if not moved:
+            discard(both)
+            discard(holders)
             return state.withColumnRenamed("label", "root")
 
 

@@ -86,6 +86,19 @@ def test_packing(docs, texts, odd, none):
     assert packing.pack(none, P.path("word_bpe_49k.json")).count() == 0
 
 
+def test_rests_that_fit_nowhere_are_bounded():
+    ids = np.arange(3000, dtype="<u4").tobytes()
+    p = packing.Packer(4096, 1 << 20)
+    out, most = [], 0
+    for k in range(5000):
+        out += [(n, k) for n, _ in p.add(k, ids)]
+        most = max(most, p.held)
+        assert p.held == sum(4 * n * len(w) for n, w in p.open.items())
+    out += [(n, None) for n, _ in p.finish()]
+    assert most <= (1 << 20) + 12_000 and sum(n for n, _ in out) == 5000 * 3000
+    assert all(n == 4096 for n, k in out if k is not None) and sum(n < 4096 for n, _ in out) <= 12
+
+
 def test_sum_of_squares_choice():
     p = packing.Packer(10)
     p.level[[3, 6]] = 1, 2
@@ -116,12 +129,38 @@ def test_repair_random_access():
     rng = np.random.default_rng(3)
     ids = np.concatenate([rng.integers(0, 60, 3000), np.tile([7, 7, 7, 8], 500), rng.integers(0, 50256, 500)]).astype("<u4")
     starts = np.array([0, 10, 11, 2990, 4000, 5400])
-    block = repair.Block(repair.to_block(ids, starts))
+    block = repair.Shard(repair.to_shard(ids, starts))
     assert len(block.rules) and len(block.sequence) < len(ids)
     assert np.array_equal(block.all_ids(), ids)
     for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
         assert np.array_equal(block.document(k), ids[a:b])
-    assert len(repair.Block(repair.to_block(np.zeros(0, "<u4"), np.zeros(0, int))).all_ids()) == 0
+    assert len(repair.Shard(repair.to_shard(np.zeros(0, "<u4"), np.zeros(0, int))).all_ids()) == 0
+
+
+def test_repair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(4)
+    words = [rng.integers(0, 50_000, rng.integers(2, 9)) for _ in range(300)]
+    text = np.concatenate([words[k] for k in rng.zipf(1.3, 40_000) % 300]).astype("<u4")
+    for ids in (np.tile([5, 9], 100_000), np.full(70_001, 3), text, rng.integers(0, 4, 50_000), np.array([7]), np.array([7, 7])):
+        ids = ids.astype("<u4")
+        x, rules = repair.compress(ids)
+        assert np.array_equal(repair.expand(x, rules), ids) and len(rules) <= 1 << 16
+        least = max(repair.LEAST, len(ids) // repair.SHARE)
+        pairs, n = np.unique(repair._keys(x[:-1], x[1:]), return_counts=True)
+        # a run of one symbol holds half as many places as it has pairs
+        assert all(c < least or a >> np.uint64(32) == a & np.uint64(0xFFFFFFFF) for a, c in zip(pairs, n))
+    assert len(repair.compress(np.tile([5, 9], 100_000).astype("<u4"))[0]) < 60
+    big = np.concatenate([text, np.full(50, 1 << 20)]).astype("<u4")
+    assert np.array_equal(repair.Shard(repair.to_shard(big, np.array([0]))).all_ids(), big)
+
+
+def test_token_files_of_one_hot_id(spark):
+    lib = library("byte_bpe_50k.json")
+    rows = [(3, f"text {k}") for k in range(200)] + [(2, "a"), (4, "b")]
+    to = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, repair.write_and_read(to, P.path("byte_bpe_50k.json")).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == [2] + [3] * 200 + [4] and sorted((i, n, c) for i, _, n, c in got) == sorted((i, len(lib(t)), crc(lib(t))) for i, t in rows)
+    assert [r[1] for r in got] == np.concatenate([[0], np.cumsum([r[2] for r in got])[:-1]]).tolist()
 
 
 def test_transducer(docs, texts, odd, none):
@@ -410,6 +449,29 @@ def test_field_adds_and_leaves():
     assert right / total > 0.6
 
 
+def test_long_numeric_texts_are_decoded_in_bounded_memory():
+    import tracemalloc
+
+    field = pii.train()
+    texts = ["7 13 1999 " * 7000, *(f"in {k} call me at 555-123-4567 now" for k in range(600)), "12 " * 20_000 + "555-123-4567 x"]
+    tracemalloc.start()
+    found = [a for _, a in pii.find(texts, field)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20 and pii.joined(found[0]) == ""
+    assert all(t[a:b] == "555-123-4567" for t, f in zip(texts[1:-1], found[1:-1]) for a, b in f["phone"]) and all(f["phone"] for f in found[1:-1])
+
+
+def test_caches_are_bounded_by_bytes():
+    from loomgraph.llm.tokens import _Memo
+
+    memo = _Memo(lambda k: k.encode() * 2, 100_000)
+    for k in range(5000):
+        assert memo[f"key {k}"] == f"key {k}".encode() * 2
+        assert memo.held <= 100_000
+    assert memo["x" * 10_000] == b"x" * 20_000 and "x" * 10_000 not in memo
+
+
 def test_viterbi_brute_force():
     import itertools
 
@@ -432,6 +494,42 @@ def test_licences(spark, odd, none):
     assert many[12].line_licenses == "Apache-2.0" and many[1].digest == many[2].digest and licences.scan(none).count() == 0
 
 
+def test_published_licences_are_found(spark):
+    """A file as published (title, copyright, wrapped lines), the same inside a document, a line a paragraph, and with a word changed."""
+    import os
+    import textwrap
+
+    from loomgraph.llm import licence_texts
+
+    wrapped = lambda ps: "\n\n".join(textwrap.fill(p, 72) for p in ps)
+    mit, bsd, zlib_ = (licence_texts.TEXTS[k][0] for k in ("MIT", "BSD-3-Clause", "Zlib"))
+    file = "MIT License\n\nCopyright (c) [year] [fullname]\n\n" + wrapped(mit) + "\n"
+    rows = [(1, file), (2, "Read me first.\n\n" + file + "\nAnd then\nthis."), (3, "one line\n" + "\n".join(bsd) + "\nlast line"), (4, "\n\n".join(mit).replace("MERCHANTABILITY", "MERCHANDISE")), (5, "Copyright (c) 2001, X.\nAll rights reserved.\n\n" + wrapped(bsd)), (6, "Foo\n\n" + wrapped(zlib_) + "\n\n" + wrapped(mit) + "\n\nbar " * 500)]
+    found = "/usr/share/common-licenses/"
+    there = [x for x in ("Apache-2.0", "GPL-3", "MPL-2.0") if os.path.exists(found + x)]
+    rows += [(10 + k, open(found + x).read()) for k, x in enumerate(there)] + [(20 + k, "Intro\n\n" + open(found + x).read() + "\n\nrest of the text") for k, x in enumerate(there)]
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k].license for k in range(1, 7)] == ["MIT", None, None, None, "BSD-3-Clause", None]
+    assert [got[k].text_licenses for k in range(1, 7)] == ["MIT", "MIT", "BSD-3-Clause", "", "BSD-3-Clause", "MIT,Zlib"]
+    for k, x in enumerate(there):
+        name = x + ".0" if x == "GPL-3" else x
+        assert got[10 + k].license == name and name in got[10 + k].text_licenses.split(",") and got[20 + k].license is None and name in got[20 + k].text_licenses.split(",")
+    assert len({*licence_texts.TEXTS, *licence_texts.NOTICES, *(d[0] for d in licences.DIGESTS)}) >= 30
+
+
+def test_licences_say_the_same_in_sql(spark, docs, odd):
+    import duckdb
+
+    from loomgraph.llm.queries import OP8_SQL
+
+    rows = [(i, t) for i, t in ODD if i is not None and i != 6] + [(100 + k, t) for k, t in enumerate(x for ts in (*licences.KNOWN.values(), *licences.TITLED.values()) for x in ts)]
+    rows += [(500 + k, f"x\n\n{t}\n\ny") for k, (_, t) in enumerate(rows) if t]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    db = duckdb.connect()
+    db.register("documents", df.toPandas())
+    assert sorted(db.sql(OP8_SQL).fetchall()) == sorted(tuple(r) for r in licences.scan(df).select("doc_id", "digest", "license", "line_licenses", "n_license_lines", "text_licenses").collect())
+
+
 def test_padded_licence_line(spark):
     rows = [(1, "x\n/*" + " " * 600 + "Released under the MIT License." + "-" * 300 + "*/\ny"), (2, "x\n" + "Released under the MIT License. " * 20)]
     got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
