@@ -54,34 +54,45 @@ def compress(ids: np.ndarray, first: int = FIRST, least: int | None = None) -> t
     x = ids.astype(np.uint32)
     least = least or max(LEAST, len(x) // SHARE)
     rules: list[np.ndarray] = []
-    made = first
-    if len(x) > 1:  # the places of pairs whose hash comes often enough
-        h = _hash(x[:-1], x[1:])
-        at = np.flatnonzero((np.bincount(h, minlength=1 << _HASH_BITS) >= least)[h])
-    else:
-        at = np.zeros(0, np.int64)
+    made, at = first, np.arange(max(0, len(x) - 1))
+    cell = np.full(1 << _HASH_BITS, -1, np.int32)
     while len(at) >= least:
-        pairs, which, n = np.unique(_keys(x[at], x[at + 1]), return_inverse=True, return_counts=True)
-        often = n >= least
-        keep = often[which]
-        at, which = at[keep], which[keep]
-        if not len(at):
+        # a pair comes at most as often as its hash
+        h = _hash(x[at], x[at + 1])
+        often = (np.bincount(h, minlength=1 << _HASH_BITS) >= least)[h]
+        at, h = at[often], h[often]
+        keys = _keys(x[at], x[at + 1])
+        pairs, n = np.unique(keys, return_counts=True)
+        pairs = pairs[n >= least]
+        if not len(pairs):
             break
+        own = _hash((pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32))
+        cell[own] = np.arange(len(pairs))
+        which = cell[h]
+        same = (which >= 0) & (pairs[which] == keys)
+        odd = np.flatnonzero(~same & (which >= 0))  # another pair has the hash
+        if len(odd):
+            place = np.minimum(np.searchsorted(pairs, keys[odd]), len(pairs) - 1)
+            hit = pairs[place] == keys[odd]
+            which[odd[hit]], same[odd[hit]] = place[hit], True
+        cell[own] = -1
+        at, which = at[same], which[same]
         # of overlapping places every second one, counted from the start of a run
         start = np.concatenate(([True], np.diff(at) != 1))
         begin = np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
         keep = (np.arange(len(at)) - begin) % 2 == 0
         at, which = at[keep], which[keep]
-        use, number = np.unique(which, return_inverse=True)
-        x[at] = made + number
+        used = np.bincount(which, minlength=len(pairs)) > 0
+        number = np.cumsum(used) - 1
+        x[at] = made + number[which]
         gone = np.ones(len(x), bool)
         gone[at + 1] = False
         x = x[gone]
-        rules.append(np.stack([pairs[use] >> np.uint64(32), pairs[use] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        new = np.flatnonzero(x >= made)
-        made += len(use)
-        at = np.concatenate([new - 1, new])
-        at = np.unique(at[(at >= 0) & (at + 1 < len(x))])
+        pairs = pairs[used]
+        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        new = x >= made
+        made += len(pairs)
+        at = np.flatnonzero(new[:-1] | new[1:])
     return x, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
