@@ -12,10 +12,11 @@ import json
 import re
 import sys
 from array import array
+from itertools import islice
 
 import regex
 
-CHUNKS, PIECES = 112 << 20, 80 << 20  # bytes
+CHUNKS, PIECES = 160 << 20, 112 << 20  # bytes
 
 
 def byte_alphabet() -> list[str]:
@@ -39,9 +40,9 @@ class _Memo(dict):
         size = sys.getsizeof(key) + sys.getsizeof(value) + 100  # with its place in the dict
         if size > self.LONG:
             return value
-        if self.held + size > self.most:
-            self.clear()
-            self.held = 0
+        if self.held + size > self.most:  # the older half goes
+            for old in list(islice(self, (len(self) + 1) // 2)):
+                self.held -= sys.getsizeof(old) + sys.getsizeof(self.pop(old)) + 100
         self.held += size
         self[key] = value
         return value
