@@ -37,6 +37,7 @@ class Info:
     kind: str = "lit"  # node, lit or list
     cls: str | None = None  # a node of this class, as its raw key
     maybe: bool = False  # may be unbound
+    among: frozenset | None = None  # a node of one of these classes, as its IRI
 
 
 @dataclass
@@ -59,6 +60,7 @@ _TESTS = {A.Less: lambda a, b: a < b, A.Greater: lambda a, b: a > b, A.Lte: lamb
 class Lowerer:
     def __init__(self, spark: SparkSession, catalog: Catalog, named: dict[str, A.Node] | None = None, store: Any = None, graph: str = "instance", commit: str | None = None):
         self.spark, self.catalog, self.named, self.store, self.graph, self.commit = spark, catalog, named or {}, store, graph, commit
+        self.dry = False  # only asks which variables a query binds: closures and recursion run nothing
 
     # -- values ---------------------------------------------------------------------------------
     def one(self, f: Frame) -> Frame:
@@ -131,7 +133,7 @@ class Lowerer:
         if not todo:
             return f
         df = f.df.withColumns({n: self.iri(F.col(n), f.info[n].cls) for n in todo})
-        return Frame(df, {n: replace(i, cls=None) if n in todo else i for n, i in f.info.items()})
+        return Frame(df, {n: replace(i, cls=None, among=frozenset([i.cls])) if n in todo else i for n, i in f.info.items()})
 
     # -- joining --------------------------------------------------------------------------------
     def join(self, left: Frame, right: Frame, how: str = "inner") -> Frame:
@@ -143,15 +145,32 @@ class Lowerer:
         shared = [n for n in left.info if n in right.info]
         differ = [n for n in shared if left.info[n].cls != right.info[n].cls]
         left, right = self.plain(left, differ), self.plain(right, differ)
-        l, r = left.df.alias("_l"), right.df.select(*[F.col(n).alias(f"_r_{n}") for n in right.info])
+        # a maybe-bound variable is an equi-join all the same: a null meets a copy of every row of the other side
+        outer = [n for n in shared if right.info[n].maybe and how != "inner"]
+        marked = [n for n in shared if (left.info[n].maybe or right.info[n].maybe) and n not in outer]
+        l, r = left.df, right.df.select(*[F.col(n).alias(f"_r_{n}") for n in right.info])
+        for n in marked:
+            a, b = F.col(n), F.col(f"_r_{n}")
+            at, bt = l.schema[n].dataType, r.schema[f"_r_{n}"].dataType
+            key = lambda k, c, t: F.struct(F.lit(k).alias("k"), (F.lit(None).cast(t) if c is None else c).alias("v"))
+            # keys: 1 and the value; 0 where the left is unbound (every right row has it); 2 where the right one is (every bound left row has it)
+            mine = F.when(a.isNull(), F.array(key(0, None, at))).otherwise(F.array(key(1, a, at), key(2, None, at)) if right.info[n].maybe else F.array(key(1, a, at)))
+            theirs = F.array(key(1, b, bt), key(0, None, bt)) if left.info[n].maybe else F.array(key(1, b, bt))
+            if right.info[n].maybe:
+                theirs = F.when(b.isNull(), F.array(key(0, None, bt), key(2, None, bt)) if left.info[n].maybe else F.array(key(2, None, bt))).otherwise(theirs)
+            l = l.withColumn(f"_k_{n}", F.explode(mine) if right.info[n].maybe else mine[0])
+            r = r.withColumn(f"_q_{n}", F.explode(theirs))
+        l = l.alias("_l")
         on = None
         for n in shared:
             a, b = F.col(f"_l.{n}"), F.col(f"_r_{n}")
-            same = a == b
-            if left.info[n].maybe:
-                same = same | a.isNull()
-            if right.info[n].maybe:
-                same = same | b.isNull()
+            if n in marked:
+                k, q = F.col(f"_l._k_{n}"), F.col(f"_q_{n}")
+                same = (k["k"] == q["k"]) & (k["v"].eqNullSafe(q["v"]))
+            else:
+                same = a == b
+                if n in outer:
+                    same = same | b.isNull() | (a.isNull() if left.info[n].maybe else F.lit(False))
             on = same if on is None else on & same
         if on is None:
             joined = l.crossJoin(r) if how == "inner" else l.join(r, F.lit(True), how)
@@ -374,6 +393,8 @@ class Lowerer:
         classes = self.catalog.having(p)
         if isinstance(node.subject, A.Var) and node.subject.name in f.info and f.info[node.subject.name].cls:
             classes = [c for c in classes if c == f.info[node.subject.name].cls]
+        elif isinstance(node.subject, A.Var) and node.subject.name in f.info and f.info[node.subject.name].among is not None:
+            classes = [c for c in classes if c in f.info[node.subject.name].among]
         elif isinstance(node.subject, A.Iri):
             classes = [c for c in classes if node.subject.text.startswith(f"{c}/") or self.catalog.get(c).key == ("iri",)]
         scans = [self.class_scan(c, node.subject, ((p, node.object, type(node)),)) for c in classes]
@@ -382,7 +403,9 @@ class Lowerer:
     do_Link = do_Data = do_Triple
 
     def with_graph(self, graph: str) -> Lowerer:
-        return Lowerer(self.spark, self.catalog, self.named, self.store, graph, self.commit)
+        low = Lowerer(self.spark, self.catalog, self.named, self.store, graph, self.commit)
+        low.dry = self.dry
+        return low
 
     def do_IsA(self, node: A.IsA, f: Frame) -> Frame:
         if isinstance(node.type, A.Var):
@@ -407,7 +430,10 @@ class Lowerer:
         c = F.col(obj.name)
         t = self.dtype(c, f)
         for end, test in ((node.low, lambda x: c >= x), (node.high, lambda x: c < x)):
-            if end is None or (isinstance(end, A.Var) and end.name not in f.info):
+            if end is None:
+                continue
+            if isinstance(end, A.Var) and end.name not in f.info:  # an open end is the object itself
+                f = Frame(f.df.withColumn(end.name, c), f.info | {end.name: f.info[obj.name]})
                 continue
             limit = self.value(end, f)
             f = Frame(f.df.filter(test(limit.cast(t) if not isinstance(end, A.Var) else limit)), f.info)
@@ -468,19 +494,31 @@ class Lowerer:
 
     def do_TripleCount(self, node, f):
         low = self if node.resource in (None, "", "instance") else self.with_graph("schema") if node.resource == "schema" else self.using(node.resource)
-        return self.join(f, Frame(low.triples().agg(F.count("*").alias(node.count.name)), {node.count.name: Info()}))
+        if low.graph == "schema":
+            n = low.triples().agg(F.count("*").alias("n"))
+        else:  # a type edge a row and an edge a value: nothing is unpivoted
+            n = None
+            for name, d in low.catalog.classes.items():
+                if not d.frame or d.abstract:
+                    continue
+                edges = F.count("*")
+                for p in low.catalog.properties(name).values():
+                    c = F.col(p.column)
+                    edges = edges + (F.coalesce(F.sum(F.size(F.filter(c, lambda x: x.isNotNull()))), F.lit(0)) if p.many else F.count(c))
+                one = d.frame().agg(edges.cast("long").alias("n"))
+                n = one if n is None else n.unionByName(one)
+            n = n.agg(F.sum("n").alias("n"))
+        return self.join(f, Frame(n.select(F.col("n").alias(node.count.name)), {node.count.name: Info()}))
 
     # -- control --------------------------------------------------------------------------------
     def sub(self, q: A.Node, f: Frame) -> Frame:
         """Solutions of q for the values of the outer variables it mentions; alone where it can be."""
         shared = [n for n in f.info if n in A.mentioned(q)]
-        try:
-            alone = self.lower(q)
-            if all(n in alone.info for n in shared):
-                return alone
-        except (Unbound, AnalysisError):
-            if not shared:
-                raise
+        alone = self.alone(q)
+        if alone is not None and all(n in alone for n in shared):
+            return self.lower(q)
+        if alone is None and not shared:
+            return self.lower(q)  # says what is missing
         seeds = f.only(shared)
         return self.lower(q, Frame(seeds.df.distinct(), {n: replace(i) for n, i in seeds.info.items()}))
 
@@ -524,7 +562,21 @@ class Lowerer:
         if self.store is None:
             raise AnalysisError("no store to read another collection from")
         commit = self.store.resolve(collection)
-        return Lowerer(self.spark, self.store.catalog_at(commit), self.named, self.store, self.graph, commit)
+        low = Lowerer(self.spark, self.store.catalog_at(commit), self.named, self.store, self.graph, commit)
+        low.dry = self.dry
+        return low
+
+    def alone(self, q: A.Node) -> dict[str, Info] | None:
+        """What q binds without any outer binding, or None if it needs some; runs nothing."""
+        low = self.copy()
+        low.dry = True
+        try:
+            return low.lower(q).info
+        except (Unbound, AnalysisError):
+            return None
+
+    def copy(self) -> Lowerer:
+        return Lowerer(self.spark, self.catalog, self.named, self.store, self.graph, self.commit)
 
     def do_Using(self, node, f):
         return self.join(f, self.using(node.collection).lower(node.query))
@@ -560,6 +612,9 @@ class Lowerer:
         """Least fixed point: calls inside read the solutions found so far, until there are no new ones."""
         from .shared import checkpoint
 
+        if self.dry:
+            names = [a.name for a in arguments if isinstance(a, A.Var)]
+            return Frame(self.empty(names).df, {n: Info("node") for n in names})
         found: Frame | None = None
         while True:
             step = _Fixpoint(self, q.name, found, params)
@@ -607,15 +662,12 @@ class Lowerer:
         return Frame(out.df.select(*keep), {n: out.info[n] for n in keep})
 
     def needs(self, q: A.Node, f: Frame) -> bool:
-        try:
-            self.lower(q)
-            return False
-        except (Unbound, AnalysisError):
-            return True
+        return self.alone(q) is None
 
     def do_Distinct(self, node, f):
-        sub = self.lower(node.query)
+        sub = self.one(self.sub(node.query, f) if f.df is not None else self.lower(node.query))
         names = [x.name for x in node.variables]
+        names += [n for n in f.info if n in sub.info and n not in names]
         if set(names) >= set(sub.info):
             df = sub.df.select(*sub.info).distinct()
         else:  # the representative is the first in the order of the other variables
@@ -664,6 +716,22 @@ class Lowerer:
             out = Frame(out.df.withColumn(name, F.coalesce(F.col(name), F.lit(0))), out.info | {name: Info()})
         return out if isinstance(node.count, A.Var) else Frame(out.df.filter(F.col(name) == node.count).drop(name), f.info)
 
+    def do_CountBound(self, node, f):
+        sub = self.one(self.lower(node.query))
+        keys = [k.name for k in node.keys]
+        c = F.count("*") if node.counted is None else F.count(node.counted.name) if node.counted.name in sub.info else F.lit(0).cast("long")
+        df = sub.df.groupBy(*keys).agg(c.alias(node.count.name))
+        return self.join(f, Frame(df, {k: sub.info[k] for k in keys} | {node.count.name: Info()}))
+
+    def do_FirstDistinct(self, node, f):
+        sub = self.one(self.lower(node.query))
+        names, by = [x.name for x in node.variables], self.order(node.ordering)
+        for n in names:
+            if n not in sub.info:
+                sub = Frame(sub.df.withColumn(n, F.lit(None).cast("string")), sub.info | {n: Info(maybe=True)})
+        first = sub.df.withColumn("_n", F.row_number().over(Window.partitionBy(*names).orderBy(*by))).filter("_n = 1")
+        return self.join(f, Frame(first.orderBy(*by).select(*names), {n: sub.info[n] for n in names}))
+
     def template(self, t: Any, f: Frame) -> tuple[Column, bool]:
         """(column, whether the list is flat)."""
         if isinstance(t, A.Var) or (isinstance(t, (list, tuple)) and len(t) == 1):
@@ -677,8 +745,9 @@ class Lowerer:
 
     def group(self, node: A.GroupBy, f: Frame, others: list) -> tuple[Frame, list]:
         """Sums, lengths and ends of the grouped list become aggregates; Catalyst drops the list if nobody reads it."""
-        sub = self.one(self.lower(node.query))
+        sub = self.one(self.sub(node.query, f) if f.df is not None else self.lower(node.query))
         keys = [k.name for k in node.keys]
+        keys += [n for n in f.info if n in sub.info and n not in keys and n not in A.mentioned(node.template)]
         c, flat = self.template(node.template, sub)
         collected = F.collect_list(F.struct(c.alias("x")))
         aggs = [F.transform(collected, lambda e: e["x"]).alias(node.grouped.name)]
@@ -716,18 +785,43 @@ class Lowerer:
         out = self.one(self.lower(node.query, f))
         return Frame(out.df.orderBy(*self.order(node.ordering)), out.info)
 
+    def page(self, node: Any, f: Frame, first: int, last: int | None) -> Frame:
+        """Solutions `first` to `last` of each value of the outer variables that the query shares, or of all."""
+        ordered = node.query.ordering if isinstance(node.query, A.OrderBy) else None
+        inner = node.query.query if ordered else node.query
+        sub = self.one(self.sub(inner, f) if f.df is not None else self.lower(inner))
+        shared = [n for n in f.info if n in sub.info]
+        if not shared:
+            df = sub.df.orderBy(*self.order(ordered)) if ordered else sub.df
+            df = df.offset(first) if last is None else df.limit(last)
+            return self.join(f, Frame(df, sub.info))
+        own = [n for n in sub.info if n not in shared]
+        by = [*(self.order(ordered) if ordered else []), *[F.col(n) for n in own]] or [F.lit(0)]
+        n = F.row_number().over(Window.partitionBy(*shared).orderBy(*by))
+        df = sub.df.withColumn("_n", n).filter(F.col("_n") > first)
+        return self.join(f, Frame((df if last is None else df.filter(F.col("_n") <= last)).drop("_n"), sub.info))
+
     def do_Limit(self, node, f):
-        out = self.one(self.lower(node.query))
-        return self.join(f, Frame(out.df.limit(node.limit), out.info))
+        if isinstance(node.query, A.Start) and f.df is not None:
+            start = node.query
+            return self.page(A.Limit(node.limit, start.query), f, start.start, start.start + node.limit) if self.shares(start.query, f) else self.uncorrelated(node, f)
+        return self.page(node, f, 0, node.limit) if f.df is not None and self.shares(node.query, f) else self.uncorrelated(node, f)
 
     def do_Start(self, node, f):
+        return self.page(node, f, node.start, None) if f.df is not None and self.shares(node.query, f) else self.uncorrelated(node, f)
+
+    def shares(self, q: Any, f: Frame) -> bool:
+        return bool(A.variables(q) & f.info.keys())
+
+    def uncorrelated(self, node: Any, f: Frame) -> Frame:
         out = self.one(self.lower(node.query))
-        return self.join(f, Frame(out.df.offset(node.start), out.info))
+        return self.join(f, Frame(out.df.limit(node.limit) if isinstance(node, A.Limit) else out.df.offset(node.start), out.info))
 
     def do_Sum(self, node, f):
         c = self.value(node.list, f)
         t = self.dtype(c, f).elementType
-        total = F.aggregate(c, F.lit(0).cast(t), lambda a, x: (a + x).cast(t)) if not isinstance(t, T.StringType) else lists.total(c)
+        wide = T.LongType() if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)) else T.DecimalType(38, t.scale) if isinstance(t, T.DecimalType) else T.DecimalType(38, 0) if isinstance(t, T.LongType) else t
+        total = F.aggregate(c, F.lit(0).cast(wide), lambda a, x: (a + x).cast(wide)) if not isinstance(t, T.StringType) else lists.total(c)
         return self.bind(f, node.result, total)
 
     def do_Length(self, node, f):
@@ -1059,27 +1153,73 @@ class Lowerer:
         return self.generate(f, self.literal_day(node.date), temporal.month_ends(self.day(node.start, f), self.day(node.end, f)))
 
     # -- paths and documents --------------------------------------------------------------------
-    def edges(self, name: str | None) -> DataFrame:
-        if name is None:
-            return self.triples().filter("kind = 'node' and p <> 'rdf:type'").select("s", "p", "o")
+    def edges(self, name: str | None, subjects: frozenset | None = None, objects: frozenset | None = None) -> DataFrame:
+        """s, p, o of links (or of a property), of subjects of some classes, to objects of some classes."""
         out = None
-        for cls in self.catalog.having(name):
-            p = self.catalog.properties(cls)[name]
-            d = self.catalog.get(cls)
-            c = F.explode(F.col(p.column)) if p.many else F.col(p.column)
-            df = d.frame().select(self.iri(d.raw_key(), cls).alias("s"), c.alias("_o")).filter("_o is not null").select("s", F.lit(name).alias("p"), self.iri(F.col("_o"), p.link).alias("o"))
+        for cls, d in self.catalog.classes.items():
+            if not d.frame or d.abstract or (subjects is not None and cls not in subjects):
+                continue
+            mine = [p for p in self.catalog.properties(cls).values() if (p.link if name is None else p.name == name)]
+            mine = [p for p in mine if objects is None or (p.link and self.family(p.link) & objects)]
+            if not mine:
+                continue
+            df = d.frame().withColumn("_s", self.iri(d.raw_key(), cls))
+            if len(mine) == 1:
+                p = mine[0]
+                df = df.select("_s", (F.explode(F.col(p.column)) if p.many else F.col(p.column)).alias("_o")).filter("_o is not null")
+                df = df.select(F.col("_s").alias("s"), F.lit(p.name).alias("p"), self.iri(F.col("_o"), p.link).alias("o"))
+            else:
+                make = lambda p: lambda c: F.struct(F.lit(p.name).alias("p"), self.iri(c, p.link).alias("o"))
+                items = [F.transform(F.col(p.column), make(p)) if p.many else F.array(make(p)(F.col(p.column))) for p in mine]
+                df = df.select("_s", F.explode(F.concat(*[F.coalesce(x, F.array().cast("array<struct<p:string,o:string>>")) for x in items])).alias("_e"))
+                df = df.select(F.col("_s").alias("s"), F.col("_e.p").alias("p"), F.col("_e.o").alias("o")).filter("o is not null")
             out = df if out is None else out.unionByName(df)
         return out if out is not None else self.spark.createDataFrame([], "s string, p string, o string")
 
+    def family(self, cls: str) -> frozenset:
+        """The classes that a link to cls may meet."""
+        return frozenset({cls, *self.catalog.concrete(cls)})
+
+    def leads(self, name: str | None, classes: frozenset, backwards: bool) -> frozenset:
+        """The classes at the other end of links (or a property) from some classes; a value has none."""
+        out: set[str] = set()
+        for cls, d in self.catalog.classes.items():
+            if not d.frame or d.abstract:
+                continue
+            for p in self.catalog.properties(cls).values():
+                if not p.link or (name is not None and p.name != name):
+                    continue
+                if backwards and self.family(p.link) & classes:
+                    out.add(cls)
+                elif not backwards and cls in classes:
+                    out |= self.family(p.link)
+        return frozenset(out)
+
+    def classes_of(self, x: Any, f: Frame) -> frozenset | None:
+        """The classes that a node may be of, if known."""
+        if isinstance(x, A.Var):
+            i = f.info.get(x.name)
+            return None if i is None else frozenset([i.cls]) if i.cls else i.among
+        at = _name(x).split("/")[0]
+        known = at in self.catalog.classes and not any(d.key == ("iri",) for d in self.catalog.classes.values())
+        return frozenset([at]) if known else None
+
     def do_Path(self, node, f):
         pattern = paths.parse(node.pattern) if isinstance(node.pattern, str) else node.pattern
+        classes = self.classes_of(node.subject, f)
         f = self.plain(f, A.variables([node.subject, node.object]))
         starts = None
-        if not isinstance(node.subject, A.Var):
-            starts = self.spark.createDataFrame([(_name(node.subject),)], "s string")
-        elif node.subject.name in f.info and not f.info[node.subject.name].maybe:
-            starts = f.df.select(F.col(node.subject.name).alias("s")).distinct()
-        found = paths.pairs(pattern, self.edges, starts) if node.path is None else paths.paths(pattern, self.edges, starts)
+        if self.dry:
+            found = self.spark.createDataFrame([], "s string, o string, path array<struct<s:string,p:string,o:string>>")
+        else:
+            if not isinstance(node.subject, A.Var):
+                starts = self.spark.createDataFrame([(_name(node.subject),)], "s string")
+            elif node.subject.name in f.info and not f.info[node.subject.name].maybe:
+                starts = f.df.select(F.col(node.subject.name).alias("s")).distinct()
+            if starts is None or not self.only_links(pattern):
+                classes = None
+            found = paths.pairs(pattern, self.edges, starts, classes, self.leads) if node.path is None else paths.paths(pattern, self.edges, starts)
+        to = paths.reached(pattern, classes, self.leads) if self.only_links(pattern) else None
         columns = {}
         for x, c in ((node.subject, "s"), (node.object, "o")):
             if isinstance(x, A.Var) and x.name not in columns:
@@ -1093,8 +1233,16 @@ class Lowerer:
         else:
             columns[node.path.name] = F.col("path")
         info = {n: Info("list" if node.path is not None and n == node.path.name else "node") for n in columns}
+        if isinstance(node.object, A.Var) and to is not None:
+            info[node.object.name] = replace(info[node.object.name], among=to)
         return self.join(f, Frame(found.select(*[c.alias(n) for n, c in columns.items()] or [F.lit(1).alias("_one")]), info))
 
+    def only_links(self, pattern: Any) -> bool:
+        """Whether a pattern never ends at a value: a property that holds values has no class to lead to."""
+        if isinstance(pattern, (A.Pred, A.Inverse)):
+            return pattern.name is None or all(self.catalog.properties(c)[pattern.name].link for c in self.catalog.having(pattern.name))
+        return all(map(self.only_links, pattern.parts)) if isinstance(pattern, (A.Seq, A.Alt)) else self.only_links(pattern.part)
+
     def documents(self, cls: str, depth: int = 0) -> DataFrame:
         """key, doc (a struct): links are IRIs, or documents down to a depth."""
         d, columns = self.catalog.get(cls), [self.iri(F.col("_key"), cls).alias("@id"), F.lit(cls).alias("@type")]
