@@ -162,6 +162,9 @@ OrderBy = _node("OrderBy", "ordering query", "Sorts by (variable, 'asc' or 'desc
 Limit = _node("Limit", "limit query", "At most so many solutions.")
 Start = _node("Start", "start query", "Without the first so many solutions.")
 
+CountBound = _node("CountBound", "counted keys count query", "Number of solutions that bind a variable (of all without one), for each value of the keys.")
+FirstDistinct = _node("FirstDistinct", "variables ordering query", "One solution for each value of the variables, in the order of the first ones.")
+
 # lists
 Member = _node("Member", "member list", "Each element, or a test.")
 Dot = _node("Dot", "document field value", "A field of a document, struct or map.")
@@ -271,6 +274,10 @@ def variables(x: Any) -> set[str]:
         return {a.name for a in x.variables}
     if isinstance(x, (Not, Comment)):
         return set()
+    if isinstance(x, CountBound):
+        return {k.name for k in x.keys} | variables(x.count)
+    if isinstance(x, FirstDistinct):
+        return {a.name for a in x.variables}
     if isinstance(x, (GroupBy, Collect)):
         keys = {k.name for k in x.keys} if isinstance(x, GroupBy) else set()
         return keys | variables(x.grouped if isinstance(x, GroupBy) else x.into)

@@ -138,6 +138,8 @@ class _Parser:
                 out = A.OrderBy(order, A.Distinct(shown, A.Select(shown, body)))
         elif order:
             out = A.Select(shown, A.OrderBy(order, out))
+            if distinct:  # an order by what isn't shown has no one place for a repeated row: the first one's
+                out = A.FirstDistinct(shown, order, body)
         else:
             out = A.Select(shown, out)
             if distinct:
@@ -153,10 +155,13 @@ class _Parser:
         for agg, arg, out in counts:
             self.fresh += 1
             bag = A.Var(f"_g{self.fresh}")
-            kind = {"COUNT": A.Length, "SUM": A.Sum, "MIN": A.RangeMin, "MAX": A.RangeMax}.get(agg)
+            if agg == "COUNT":  # of a variable, unbound values don't count
+                goals.append(A.CountBound(arg, keys, out, body))
+                continue
+            kind = {"SUM": A.Sum, "MIN": A.RangeMin, "MAX": A.RangeMax}.get(agg)
             if kind is None:
                 raise SparqlError(f"{agg} is outside the subset")
-            goals += [A.GroupBy(arg or keys[0], keys, bag, body), kind(bag, out)]
+            goals += [A.GroupBy(arg, keys, bag, body), kind(bag, out)]
         return A.And(*goals)
 
     def group(self) -> A.Node:
@@ -173,7 +178,10 @@ class _Parser:
                 filters.append(self.filter())
             elif w == "MINUS":
                 self.take()
-                goals.append(A.Not(self.group()))
+                gone = self.group()
+                # a group that shares no variable with what stands before it takes nothing away
+                if A.variables(gone) & set().union(*map(A.variables, goals)):
+                    goals.append(A.Not(gone))
             elif w == "BIND":
                 self.take()
                 self.take("(")
