@@ -58,7 +58,8 @@ def effects(node: Any, reads: tuple, branch: str):
 class Writer:
     def __init__(self, low: Lowerer, store: Any, branch: str):
         self.low, self.store, self.branch = low, store, branch
-        self.head = store.head(branch)
+        self.base = store.base(branch)
+        self.head = self.base[1]
         self.state: dict[str, DataFrame] = {}
 
     def rows(self, cls: str) -> DataFrame:
@@ -147,5 +148,5 @@ class Writer:
             self.state[cls] = self.store.with_rows(cls, new, old)
 
     def commit(self, **note) -> str:
-        return self.store.write(self.state, self.branch, **note)
+        return self.store.write(self.state, self.branch, base=self.base, **note)
 

@@ -1,33 +1,39 @@
 """Versioned classes in a folder of any file system that Spark writes to.
 
 A commit writes only the classes it changes, as Parquet under its own id, then one small JSON row that
-names, for every class, the commit that holds its rows. A branch is a series of JSON rows, the newest is
-its head. Every commit also appends rows to the change log, which streams read.
+names, for every class, the commit that holds its rows. A branch is a folder of numbered files that name
+commits, the last is its head. The next number is created only where it isn't there yet, from the number
+that was read before the work began, so of two writers of one head one gets a Conflict and no commit is
+lost. Every commit then appends its rows to the change log, which streams read, and marks that it has; a
+commit left unmarked by a crash is logged by the next write of its branch (so an event may come twice, with
+the same commit and id).
 """
 
 from __future__ import annotations
 
 import datetime
+import urllib.parse
 import uuid
 from dataclasses import replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.catalog import Catalog, CatalogError, Property
 
 COMMIT = "id string, parent string, author string, message string, at timestamp, tables map<string,string>"
-HEAD = "branch string, commit string, at timestamp, n long"
 CHANGE = "commit string, branch string, cls string, id string, action string, at timestamp"
 
 
 class Conflict(RuntimeError):
-    """Both sides changed the same documents."""
+    """Both sides changed the same documents, or the branch moved while a commit was made."""
 
 
 class Store:
     def __init__(self, spark: SparkSession, path: str, catalog: Catalog):
         self.spark, self.path, self.catalog = spark, path.rstrip("/"), catalog
+        self._known: dict = {}
 
     # -- small files ----------------------------------------------------------------------------
     def _put(self, rows: list, schema: str, to: str) -> None:
@@ -38,6 +44,30 @@ class Store:
         fs = fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return self.spark.read.schema(schema).json(f"{self.path}/{at}").collect() if fs.exists(fs_path) else []
 
+    def _fs(self, at: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{at}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _claim(self, at: str, text: str) -> bool:
+        """Creates a file with a text unless it is there."""
+        fs, path = self._fs(at)
+        try:
+            out = fs.create(path, False)
+        except Py4JJavaError:
+            if fs.exists(path):
+                return False
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def _text(self, fs, path) -> str:
+        stream = fs.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def create(self, branch: str = "main") -> str:
         """An empty first commit whose classes come from the catalogue's frames."""
         tables, new = {}, uuid.uuid4().hex
@@ -50,26 +80,37 @@ class Store:
     def _save(self, cls: str, commit: str, df: DataFrame) -> None:
         df.write.parquet(f"{self.path}/data/{commit}/{cls}")
 
-    def _commit(self, new: str, parent: str | None, branch: str, tables: dict, author: str, message: str) -> str:
+    def _commit(self, new: str, parent: str | None, branch: str, tables: dict, author: str, message: str, n: int | None = None) -> str:
         now = datetime.datetime.now(datetime.timezone.utc)
         self._put([(new, parent, author, message, now, tables)], COMMIT, "commits")
-        self._move(branch, new)
+        self._move(branch, new, n)
         return new
 
-    def _move(self, branch: str, commit: str) -> None:
-        n = sum(r.branch == branch for r in self._rows(HEAD, "heads"))
-        self._put([(branch, commit, datetime.datetime.now(datetime.timezone.utc), n)], HEAD, "heads")
+    def _move(self, branch: str, commit: str, n: int | None = None) -> None:
+        """Makes a commit the head behind number n of the branch (by default the last one); "" closes the branch."""
+        n = self._last(branch)[0] if n is None else n
+        if not self._claim(f"heads/{urllib.parse.quote(branch, safe='')}/{n + 1:012d}", commit):
+            raise Conflict(f"{branch} has moved")
+
+    def _last(self, branch: str) -> tuple[int, str]:
+        """(number, commit) of a branch's head; (0, "") if there is none."""
+        fs, path = self._fs(f"heads/{urllib.parse.quote(branch, safe='')}")
+        if not fs.exists(path):
+            return 0, ""
+        last = max((x.getPath() for x in fs.listStatus(path)), key=lambda p: p.getName(), default=None)
+        return (int(last.getName()), self._text(fs, last)) if last is not None else (0, "")
 
     # -- reading --------------------------------------------------------------------------------
     def branches(self) -> dict[str, str]:
-        heads = sorted(self._rows(HEAD, "heads"), key=lambda r: r.n)
-        return {b: c for b, c in {r.branch: r.commit for r in heads}.items() if c}
+        fs, path = self._fs("heads")
+        names = [urllib.parse.unquote(x.getPath().getName()) for x in fs.listStatus(path)] if fs.exists(path) else []
+        return {b: c for b in sorted(names) if (c := self._last(b)[1])}
 
     def head(self, branch: str) -> str:
-        at = self.branches()
-        if branch not in at:
-            raise CatalogError(f"no branch {branch}; there are {', '.join(sorted(at))}")
-        return at[branch]
+        commit = self._last(branch)[1]
+        if not commit:
+            raise CatalogError(f"no branch {branch}; there are {', '.join(self.branches())}")
+        return commit
 
     def resolve(self, collection: str) -> str:
         """branch/x, commit/y, a branch or a commit."""
@@ -82,10 +123,11 @@ class Store:
         return self.branches().get(name, name)
 
     def manifest(self, commit: str):
-        found = [r for r in self._rows(COMMIT, "commits") if r.id == commit]
-        if not found:
+        if commit not in self._known:
+            self._known |= {r.id: r for r in self._rows(COMMIT, "commits")}  # commits never change
+        if commit not in self._known:
             raise CatalogError(f"no commit {commit}")
-        return found[0]
+        return self._known[commit]
 
     def read(self, cls: str, commit: str) -> DataFrame:
         at = self.manifest(commit).tables.get(cls)
@@ -115,27 +157,48 @@ class Store:
         return out
 
     # -- writing --------------------------------------------------------------------------------
-    def write(self, changes: dict[str, DataFrame], branch: str = "main", author: str = "", message: str = "") -> str:
-        """New rows of some classes: one commit. The log gets what differs."""
-        parent, new = self.head(branch), uuid.uuid4().hex
+    def base(self, branch: str) -> tuple[int, str]:
+        """(number, commit) of a branch's head, for reading before a write."""
+        self.head(branch)
+        return self._last(branch)
+
+    def write(self, changes: dict[str, DataFrame], branch: str = "main", author: str = "", message: str = "", base: tuple[int, str] | None = None) -> str:
+        """New rows of some classes: one commit behind `base`, which the rows were made from. The log gets what differs.
+
+        A branch that has moved since is a Conflict.
+        """
+        n, parent = base or self.base(branch)
+        self.log_changes(parent, branch)
+        new = uuid.uuid4().hex
         tables = dict(self.manifest(parent).tables)
         for cls, df in changes.items():
             self._save(cls, new, df)
             tables[cls] = new
-        out = self._commit(new, parent, branch, tables, author, message)
-        for cls in changes:
-            log = self.diff(cls, parent, new).select(F.lit(new).alias("commit"), F.lit(branch).alias("branch"), F.lit(cls).alias("cls"), "id", "action", F.current_timestamp().alias("at"))
-            log.write.mode("append").json(f"{self.path}/changes")
+        out = self._commit(new, parent, branch, tables, author, message, n)
+        self.log_changes(out, branch)
         return out
 
+    def log_changes(self, commit: str, branch: str) -> None:
+        """Appends a commit's changes to the log unless that is done."""
+        fs, mark = self._fs(f"logged/{commit}")
+        if fs.exists(mark):
+            return
+        m = self.manifest(commit)
+        before = self.manifest(m.parent).tables if m.parent else dict(m.tables)  # a first commit has no changes
+        for cls, at in m.tables.items():
+            if before.get(cls) != at and cls in before:
+                log = self.diff(cls, m.parent, commit).select(F.lit(commit).alias("commit"), F.lit(branch).alias("branch"), F.lit(cls).alias("cls"), "id", "action", F.current_timestamp().alias("at"))
+                log.write.mode("append").json(f"{self.path}/changes")
+        self._claim(f"logged/{commit}", branch)
+
     def _keyed(self, cls: str, df: DataFrame) -> DataFrame:
         d = self.catalog.get(cls)
         key = d.raw_key().cast("string")
         return df.withColumn("id", key if d.key == ("iri",) else F.concat(F.lit(f"{cls}/"), key))
 
     def insert(self, cls: str, rows: DataFrame, branch: str = "main", **note) -> str:
-        old = self.read(cls, self.head(branch))
-        return self.write({cls: old.unionByName(rows, allowMissingColumns=True)}, branch, **note)
+        base = self.base(branch)
+        return self.write({cls: self.read(cls, base[1]).unionByName(rows, allowMissingColumns=True)}, branch, base=base, **note)
 
     def with_rows(self, cls: str, rows: DataFrame, old: DataFrame) -> DataFrame:
         """A class's rows with these in the place of those of the same key."""
@@ -145,7 +208,8 @@ class Store:
 
     def update(self, cls: str, rows: DataFrame, branch: str = "main", **note) -> str:
         """Replaces documents of the same key, adds the others."""
-        return self.write({cls: self.with_rows(cls, rows, self.read(cls, self.head(branch)))}, branch, **note)
+        base = self.base(branch)
+        return self.write({cls: self.with_rows(cls, rows, self.read(cls, base[1]))}, branch, base=base, **note)
 
     def without(self, cls: str, keys: DataFrame, rows) -> dict[str, DataFrame]:
         """Classes without the documents of `keys` (key: the raw key) and their subdocuments; rows(class) gives a class."""
@@ -160,9 +224,9 @@ class Store:
 
     def delete(self, cls: str, keys: DataFrame, branch: str = "main", **note) -> str:
         """Removes documents, and subdocuments that link to them."""
-        head = self.head(branch)
+        base = self.base(branch)
         raw = keys.select(self.catalog.get(cls).raw_key().alias("key"))
-        return self.write(self.without(cls, raw, lambda k: self.read(k, head)), branch, **note)
+        return self.write(self.without(cls, raw, lambda k: self.read(k, base[1])), branch, base=base, **note)
 
     def with_values(self, cls: str, p: Property, pairs: DataFrame, old: DataFrame, remove: bool = False) -> DataFrame:
         """A class's rows with the values of `pairs` (key, value) set or removed; several for one document need a multi-valued property."""
@@ -181,8 +245,8 @@ class Store:
 
     def set_triples(self, cls: str, prop: str, rows: DataFrame, branch: str = "main", remove: bool = False, **note) -> str:
         """rows (key, value): sets a property, or removes that value (adds to or takes from a multi-valued one)."""
-        old = self.read(cls, self.head(branch))
-        return self.write({cls: self.with_values(cls, self.catalog.properties(cls)[prop], rows, old, remove)}, branch, **note)
+        base = self.base(branch)
+        return self.write({cls: self.with_values(cls, self.catalog.properties(cls)[prop], rows, self.read(cls, base[1]), remove)}, branch, base=base, **note)
 
     # -- differences ----------------------------------------------------------------------------
     def diff(self, cls: str, before: str, after: str) -> DataFrame:
@@ -215,10 +279,22 @@ class Store:
 
     def patch(self, cls: str, diff: DataFrame, source: str, branch: str = "main", **note) -> str:
         """Applies a difference: rows it adds or updates come from the version `source`."""
-        old = self._keyed(cls, self.read(cls, self.head(branch)))
+        base = self.base(branch)
+        old = self._keyed(cls, self.read(cls, base[1]))
         new = self._keyed(cls, self.read(cls, source)).join(diff.filter("action <> 'deleted'").select("id"), "id", "left_semi")
         kept = old.join(diff.select("id"), "id", "left_anti")
-        return self.write({cls: kept.unionByName(new).drop("id")}, branch, **note)
+        return self.write({cls: kept.unionByName(new).drop("id")}, branch, base=base, **note)
+
+    def created(self, commit: str, cls: str | None = None) -> DataFrame:
+        """cls, id of the documents that a commit added; a first commit added none."""
+        m = self.manifest(commit)
+        before = self.manifest(m.parent).tables if m.parent else dict(m.tables)
+        out = self.spark.createDataFrame([], "cls string, id string")
+        for k, at in m.tables.items():
+            if before.get(k) not in (None, at) and cls in (None, k):
+                new = self._keyed(k, self.read(k, commit)).join(self._keyed(k, self.read(k, m.parent)).select("id"), "id", "left_anti")
+                out = out.unionByName(new.select(F.lit(k).alias("cls"), "id"))
+        return out
 
     # -- branches -------------------------------------------------------------------------------
     def branch(self, name: str, at: str = "main") -> str:
@@ -250,7 +326,8 @@ class Store:
 
     def merge(self, source: str, branch: str = "main", **note) -> str:
         """Three-way: changes since the common ancestor; the same document changed on both sides is a conflict."""
-        ours, theirs = self.head(branch), self.head(source)
+        at, theirs = self.base(branch), self.head(source)
+        ours = at[1]
         line = self.ancestors(ours)
         base = next(c for c in self.ancestors(theirs) if c in line)
         changes = {}
@@ -264,7 +341,7 @@ class Store:
             old = self._keyed(cls, self.read(cls, ours))
             new = self._keyed(cls, self.read(cls, theirs)).join(diff.filter("action <> 'deleted'").select("id"), "id", "left_semi")
             changes[cls] = old.join(diff.select("id"), "id", "left_anti").unionByName(new).drop("id")
-        return self.write(changes, branch, **note) if changes else ours
+        return self.write(changes, branch, base=at, **note) if changes else ours
 
     def rebase(self, branch: str, onto: str = "main") -> str:
         """The branch's commits since the common ancestor again, one by one, behind the head of `onto`.
@@ -272,7 +349,7 @@ class Store:
         They are written on a branch of their own; the branch moves when all are there. A document that
         both sides changed is a conflict, and nothing moves.
         """
-        ours, theirs = self.head(branch), self.head(onto)
+        (number, ours), theirs = self.base(branch), self.head(onto)
         line = self.ancestors(theirs)
         mine = self.ancestors(ours)
         base = next(c for c in mine if c in line)
@@ -293,6 +370,6 @@ class Store:
             self.write(changes, side, author=m.author, message=m.message)
             before = commit
         out = self.head(side)
-        self._move(branch, out)
+        self._move(branch, out, number)
         self._move(side, "")
         return out
