@@ -9,7 +9,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import algebra as A
 from .catalog import CatalogError
+from .lower import Frame, Info
 
 _OPS: dict[str, Callable[[Column, Any], Column]] = {
     "eq": lambda c, x: c == x, "ne": lambda c, x: c != x, "lt": lambda c, x: c < x, "le": lambda c, x: c <= x, "gt": lambda c, x: c > x, "ge": lambda c, x: c >= x,
@@ -222,6 +224,16 @@ class Model:
     def ids(self) -> DataFrame:
         return self.frame().select("id")
 
+    def path_to(self, cls: str, path: str, where: dict | None = None) -> DataFrame:
+        """id, target: documents of a class (that pass a filter) at the end of a regular path from each document."""
+        a, b = A.Var("id"), A.Var("target")
+        starts = self.keyed().select("_key")
+        low = self.session.lowerer()
+        ids = starts.select(low.iri(F.col("_key"), self.cls).alias("id"))
+        f = low.lower(A.Path(a, path, b), Frame(ids, {"id": Info("node", among=frozenset([self.cls]))}))
+        ends = self._filter(self._base(cls), cls, where).select(low.iri(F.col("_key"), cls).alias("target"))
+        return f.df.select("id", "target").join(ends, "target", "left_semi").select("id", "target")
+
     def grouped_by(self, field: str) -> DataFrame:
         return self.frame().groupBy(field).agg(F.sort_array(F.collect_list("id")).alias("ids"), F.count("*").alias("n"))
 
@@ -229,9 +241,16 @@ class Model:
         return self.frame().select(field).distinct()
 
 
-def together(*models: Model) -> dict[str, DataFrame]:
-    """Several queries whose parts are got by class."""
-    return {m.cls: m.frame() for m in models}
+def together(*models: Model, **named: Model) -> dict[str, DataFrame]:
+    """Several queries whose parts are got by name, or by class; a second one of a class is Class_2 and so on."""
+    out: dict[str, DataFrame] = {}
+    for m in models:
+        n, name = 1, m.cls
+        while name in out:
+            n += 1
+            name = f"{m.cls}_{n}"
+        out[name] = m.frame()
+    return out | {k: m.frame() for k, m in named.items()}
 
 
 def count_by_class(session) -> DataFrame:

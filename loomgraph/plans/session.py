@@ -84,10 +84,29 @@ class Session:
 
         return self.run(compile_sparql(text))
 
-    def xpath(self, text: str) -> DataFrame:
+    def xpath(self, text: str, documents: bool = False) -> DataFrame:
+        """Results of a path; with `documents` the whole documents as JSON beside them."""
         from .xpath import compile_xpath
 
-        return self.run(compile_xpath(text))
+        return self.run(compile_xpath(text, documents))
+
+    def unfold(self, cls: str, keys: DataFrame | None = None, classes: Any = None, limit: int | None = None) -> DataFrame:
+        """id, document (JSON) of a class, links unfolded; see documents.unfold."""
+        from .documents import WORK, unfold
+
+        return unfold(self.lowerer(), cls, keys, classes, WORK if limit is None else limit)
+
+    def documents(self, cls: str, skip: int = 0, count: int | None = None) -> DataFrame:
+        """A page of a class's documents as JSON, in order of id, links as IRIs."""
+        rows = self.unfold(cls, classes=())
+        page = rows.orderBy("id").offset(skip)
+        return page if count is None else page.limit(count)
+
+    def entities(self, commit: str | None = None, cls: str | None = None) -> DataFrame:
+        """cls, id of the documents that a commit (by default the one read) created."""
+        if self.store is None:
+            raise ValueError("a session without a store has no commits")
+        return self.store.created(commit or self.commit, cls)
 
     def model(self, name: str):
         from .filters import Model

@@ -3,7 +3,9 @@
 A complex type becomes a class: attributes and child elements are properties, what may repeat is a list,
 what may be missing or stands in a choice is optional, an enumeration is an enum class. An element with
 children of its own is a struct column (sys:JSON). Files are read with the schema's types, so there is
-no pass to infer them. Extensions, groups and references to types of other files are refused by name.
+no pass to infer them. An extension has the members of its base before its own; of a simple one the text is
+the property VALUE. Groups and attribute groups are read where they are referred to. Wildcards and references
+to types of other files are refused by name.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from ..plans.catalog import XSD, CatalogError, ClassDef, Property, spark_type
 
 XS = "{http://www.w3.org/2001/XMLSchema}"
 MARK = "_"  # of attributes in Spark's columns
-REFUSED = ("complexContent", "simpleContent", "group", "attributeGroup", "any")
+REFUSED = ("any", "anyAttribute", "openContent")
 
 
 class XmlSchema:
@@ -26,6 +28,7 @@ class XmlSchema:
         self.root = ET.fromstring(text)
         self.types = {t.get("name"): t for t in self.root if t.tag in (XS + "complexType", XS + "simpleType")}
         self.elements = {e.get("name"): e for e in self.root if e.tag == XS + "element"}
+        self.groups = {(g.tag.removeprefix(XS), g.get("name")): g for g in self.root if g.tag in (XS + "group", XS + "attributeGroup")}
 
     def type_of(self, node: ET.Element) -> tuple[str, ET.Element | None]:
         """(name, definition) of an element's or attribute's type; built-in types have no definition."""
@@ -48,7 +51,14 @@ class XmlSchema:
                 raise CatalogError(f"xs:{tag} isn't read")
             may = optional or x.get("minOccurs") == "0"
             more = many or x.get("maxOccurs", "1") not in ("0", "1")
-            if tag in ("sequence", "all", "choice"):
+            if tag in ("group", "attributeGroup"):
+                at = (tag, x.get("ref", "").rpartition(":")[2])
+                if at not in self.groups:
+                    raise CatalogError(f"no {tag} {at[1]} in the schema")
+                yield from self.members(self.groups[at], may, more)
+            elif tag in ("complexContent", "simpleContent"):
+                yield from self.content(x, may, more)
+            elif tag in ("sequence", "all", "choice"):
                 yield from self.members(x, may or tag == "choice", more)
             elif tag == "element":
                 ref = x.get("ref")
@@ -57,6 +67,19 @@ class XmlSchema:
             elif tag == "attribute" and x.get("use") != "prohibited":
                 yield x.get("name"), x, True, x.get("use") != "required", False
 
+    def content(self, node: ET.Element, optional: bool, many: bool):
+        """Members of an extension or restriction."""
+        for x in node:
+            way, base = x.tag.removeprefix(XS), x.get("base", "").rpartition(":")[2]
+            if way == "extension" and base in self.types and self.types[base].tag == XS + "complexType":
+                yield from self.members(self.types[base], optional, many)
+            elif node.tag == XS + "simpleContent":
+                yield "VALUE", ET.Element(XS + "attribute", {"type": x.get("base", "string")}), True, True, False
+            elif way == "extension" and base and base != "anyType":
+                raise CatalogError(f"no type {base} in the schema")
+            if way in ("extension", "restriction"):
+                yield from self.members(x, optional, many)
+
     def simple(self, name: str, kind: ET.Element | None) -> tuple[str, tuple[str, ...]]:
         """(built-in type, values of an enumeration)."""
         if kind is None:
