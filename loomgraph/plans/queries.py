@@ -185,7 +185,6 @@ def csv_get(session: Session) -> DataFrame:
 
 
 frame("csv_get", csv_get, "SELECT n_name AS x, CAST(n_regionkey AS BIGINT) AS y FROM nation")
-ask("triple_count", A.TripleCount("schema", k), None)
 
 # -- front ends
 frame("sql_join_left", lambda s_: s_.sql("SELECT customer.c_name, orders.o_totalprice FROM customer LEFT JOIN \"order\" AS orders ON orders.customer = customer.iri WHERE customer.c_acctbal > 9500".replace('"order"', "`order`")), "SELECT c_name, o_totalprice FROM customer LEFT JOIN orders ON o_custkey = c_custkey WHERE c_acctbal > 9500")
