@@ -10,13 +10,11 @@ from __future__ import annotations
 
 import json
 import re
-import sys
 from array import array
-from itertools import islice
 
 import regex
 
-CHUNKS, PIECES = 160 << 20, 112 << 20  # bytes
+CHUNKS, PIECES = 208 << 20, 48 << 20  # bytes
 
 
 def byte_alphabet() -> list[str]:
@@ -27,22 +25,31 @@ def byte_alphabet() -> list[str]:
 
 
 class _Memo(dict):
-    """A dict bounded by bytes that computes what it lacks."""
+    """A dict bounded by bytes that computes what it lacks.
+
+    When half the bytes are used, what is held becomes the old generation and the one before it goes; what is
+    asked for again comes back from there.
+    """
 
     LONG = 4096  # bytes of a key and its value that aren't kept
 
     def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.most, self.held = make, most, 0
+        self.make, self.half, self.held, self.old = make, most // 2, 0, {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        size = sys.getsizeof(key) + sys.getsizeof(value) + 100  # with its place in the dict
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        size = 200  # a place in the dict and two small objects
+        if isinstance(key, str):
+            size += 4 * len(key) + len(value)  # four bytes a character at most
         if size > self.LONG:
             return value
-        if self.held + size > self.most:  # the older half goes
-            for old in list(islice(self, (len(self) + 1) // 2)):
-                self.held -= sys.getsizeof(old) + sys.getsizeof(self.pop(old)) + 100
+        if self.held + size > self.half:
+            self.old = dict(self)
+            self.clear()
+            self.held = 0
         self.held += size
         self[key] = value
         return value
@@ -84,7 +91,9 @@ class WordEncoder(PieceEncoder):
         self.chunks = _Memo(self.chunk_ids, CHUNKS)
 
     def chunk_ids(self, chunk: str) -> bytes:
-        return b"".join([self.pieces[p] for p in self.split.findall(chunk.lower())])
+        found = self.split.findall(chunk.lower())
+        # a chunk of one piece is kept as a chunk alone
+        return self.piece_ids(found[0]) if len(found) == 1 else b"".join([self.pieces[p] for p in found])
 
     def encode(self, text: str) -> bytes:
         if self.odd.search(text):
@@ -123,9 +132,9 @@ class ByteEncoder(PieceEncoder):
     def word_ids(self, word: str) -> bytes:
         """A chunk after a single space. Letters alone are one piece, and so is one mark behind them."""
         if word.isalpha():
-            return self.pieces[" " + word]
+            return self.piece_ids(" " + word)
         if word[:-1].isalpha() and word[-1] in ",.":
-            return self.pieces[" " + word[:-1]] + self.pieces[word[-1]]
+            return self.spaced[word[:-1]] + self.pieces[word[-1]]
         return self.chunk_ids(" " + word)
 
     def encode(self, text: str) -> bytes:
