@@ -179,20 +179,23 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         self.fst = Transducer(load_ranks(path))
         self.split = regex.compile(pattern)
-        self.pieces = _Memo(lambda p: array("I", self.fst.encode(p.encode())).tobytes(), PIECES)
+        self.pieces = _Memo(self.piece_ids, PIECES)
         self.chunks = _Memo(self.chunk_ids, CHUNKS // 4)
         self.spaced = _Memo(self.word_ids, CHUNKS)
         self.decimal = {v: str(v) for v in self.fst.bytes_of}
 
+    def piece_ids(self, piece: str) -> bytes:
+        return array("I", self.fst.encode(piece.encode())).tobytes()
+
     def chunk_ids(self, chunk: str) -> bytes:
         return b"".join([self.pieces[p] for p in self.split.findall(chunk)])
 
     def word_ids(self, word: str) -> bytes:
         """A chunk after a single space. Letters alone are one match, and so is one mark behind them."""
         if word.isalpha():
-            return self.pieces[" " + word]
+            return self.piece_ids(" " + word)
         if word[:-1].isalpha() and word[-1] in ",.":
-            return self.pieces[" " + word[:-1]] + self.pieces[word[-1]]
+            return self.spaced[word[:-1]] + self.pieces[word[-1]]
         return self.chunk_ids(" " + word)
 
     def encode(self, text: str) -> array:
