@@ -167,3 +167,75 @@ def test_pipeline(spark, sf):
     assert not any(v for r in masked.collect() for v in pii.base_spans(r.text).values())
     packed = cp.run(spark, sf)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == left
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Null, empty, repeated and very long rows, extra columns with clashing names, and empty tables, against plain Python."""
+    import corpus_pipeline as cp
+
+    words = lambda seed, n: " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 10**6, n))
+    long = words(1, 30_000)
+    rows = [(1, "a b c d"), (2, None), (3, ""), (4, "a b c d"), (5, long), (6, long + " x"), (7, words(2, 50)), (7, words(3, 50)), (7, words(3, 50)), (None, "no id, mail a@b.de"), (None, None), (8, "card 4387513035237269 and +1 (988) 555-2485")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), "k", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, key string, fp int")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    stages, sf_dir = dict(cp.STAGES), str(tmp_path)
+    clean = stages["toxicity"](spark, docs, sf_dir)
+    assert clean.count() == len(rows) and clean.columns == docs.columns  # nothing is learnt, nothing goes
+    prints = [simhash.fingerprint(t or "") for _, t in rows]
+    group = list(range(len(rows)))
+    for _ in rows:  # components by repeated minima
+        group = [min(g for g, q in zip(group, prints) if (p ^ q).bit_count() <= 3) for p in prints]
+    want = [(None, t) for i, t in rows if i is None]
+    for g in set(group):
+        ids = [(i, t or "", t) for (i, t), h in zip(rows, group) if h == g and i is not None]
+        if ids:
+            least = min(i for i, _, _ in ids)
+            want.append((least, {t for i, _, t in ids if i == least}))
+    kept = stages["simhash_near_dedup"](spark, clean, sf_dir)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(got) == len(want) and all(any(i == j and (t in u if isinstance(u, set) else t == u) for j, u in want) for i, t in got)
+    masked = stages["personal_data"](spark, docs, sf_dir)
+    assert masked.columns == docs.columns and masked.count() == len(rows)
+    by = {r.doc_id: r for r in masked.filter("doc_id is not null").collect()}
+    assert by[8].text == "card <CARD> and <PHONE>" and by[8].n_chars == len(by[8].text) and by[2].text is None and by[5].text == long
+    packed = stages["packing"](spark, docs, sf_dir).collect()
+    assert sum(r.length for r in packed) == sum({(r.doc_id, r.doc_tokens, k): r.doc_tokens for k, r in enumerate(packed) if r.start == 0}.values())
+    none = docs.limit(0)
+    assert all(stage(spark, none, sf_dir).count() == 0 for stage in stages.values())
+
+
+def test_toxicity_against_plain_python(spark):
+    """Lexicon hits word by word, trees walked node by node, calibration by a plain search: the same scores."""
+    import re
+
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    model = toxicity.learn(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    assert got.keys() == texts.keys()
+    use = toxicity.Features(model.lexicon)
+
+    def walk(tree, bins, k=1):
+        f, at, value = tree[k]
+        return value if f < 0 else walk(tree, bins, 2 * k + (bins[f] > at))
+
+    def level(x):
+        xs, ys = (c.tolist() for c in model.curve)
+        if x <= xs[0] or x >= xs[-1]:
+            return ys[0] if x <= xs[0] else ys[-1]
+        k = max(j for j, a in enumerate(xs) if a <= x)
+        return ys[k] if xs[k] == x else ys[k] + (ys[k + 1] - ys[k]) * (x - xs[k]) / (xs[k + 1] - xs[k])
+
+    for i, t in texts.items():
+        low = t.lower()
+        x = use.of(t)
+        plain = [w for w in re.findall(r"[^\W_]+", low) if w in model.lexicon]
+        hidden = use.hidden(low)
+        n = len(re.findall(r"[ \n]", low)) + 1
+        assert x[1] == len(plain) + len(hidden) and x[2] == len({*plain, *hidden}) and np.isclose(x[0], x[1] / n) and np.isclose(x[3], sum(model.lexicon[w] for w in plain + hidden))
+        bins = [sum(c <= v for c in cuts) for cuts, v in zip(model.trees.cuts, x)]
+        raw = model.trees.base + sum(walk(tree, bins) for tree in model.trees.forest)
+        flat, trace = level(raw), 1e-3 / (1 + np.exp(-np.clip(raw, -30, 30)))
+        want = max(0.5, flat - (1e-3 - trace)) if flat >= 0.5 else min(0.4999, flat + trace)
+        assert abs(got[i].score - min(1.0, max(0.0, want))) < 1e-9 and got[i].predicted == (got[i].score >= 0.5)
