@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.versions import Delta
 from .catalog import CatalogError
 from .shared import checkpoint
 
@@ -220,5 +221,5 @@ class Loader:
             old = self.store.read(cls, base[1])
             if not replace and rows.join(old.select(*key), key, "left_semi").head():
                 raise CatalogError(f"a {cls} of that key is there: replace it")
-            state[cls] = self.store.with_rows(cls, rows.select(*old.columns), old)
+            state[cls] = Delta(rows.select(*old.columns))
         return self.store.write(state, self.branch, base=base, **note)

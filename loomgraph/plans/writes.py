@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.versions import Delta
 from . import algebra as A
 from .catalog import CatalogError
 from .lower import AnalysisError, Frame, Lowerer, Unbound
@@ -60,24 +61,29 @@ class Writer:
         self.low, self.store, self.branch = low, store, branch
         self.base = store.base(branch)
         self.head = self.base[1]
-        self.state: dict[str, DataFrame] = {}
+        self.state: dict[str, Delta] = {}
 
     def rows(self, cls: str) -> DataFrame:
-        return self.state[cls] if cls in self.state else self.store.read(cls, self.head)
+        old = self.store.read(cls, self.head)
+        return self.store.applied(cls, self.state[cls], old) if cls in self.state else old
+
+    def change(self, cls: str, delta: Delta) -> None:
+        self.state[cls] = self.store.then(cls, self.state.get(cls), delta)
 
     def apply(self, reads: tuple, node: Any) -> None:
         f = self.low.one(self.low.lower(A.And(*reads)) if reads else Frame(None, {}))
         try:
             if isinstance(node, A.DeleteDocument):
                 cls, key = self.subject(node.identifier, f)
-                self.state |= self.store.without(cls, f.df.select(key.alias("key")).distinct(), self.rows)
+                for k, delta in self.store.without(cls, f.df.select(key.alias("key")).distinct(), self.rows).items():
+                    self.change(k, delta)
             elif isinstance(node, DOCUMENTS):
                 self.document(node, f)
             else:
                 cls, key = self.subject(node.subject, f)
                 p = self.property(cls, node)
                 pairs = f.df.select(key.alias("key"), self.node_value(node.object, f, p.link).alias("value")).distinct()
-                self.state[cls] = self.store.with_values(cls, p, pairs, self.rows(cls), isinstance(node, REMOVES))
+                self.change(cls, self.store.with_values(cls, p, pairs, self.rows(cls), isinstance(node, REMOVES)))
         except Unbound as e:
             raise AnalysisError(f"nothing binds ?{e} in {A.text_of(node)}") from None
 
@@ -143,9 +149,7 @@ class Writer:
         if isinstance(node, A.InsertDocument):
             if new.join(old.select(*d.key), list(d.key), "left_semi").head():
                 raise CatalogError(f"a {cls} of that key is there: update it")
-            self.state[cls] = old.unionByName(new)
-        else:
-            self.state[cls] = self.store.with_rows(cls, new, old)
+        self.change(cls, Delta(new))
 
     def commit(self, **note) -> str:
         return self.store.write(self.state, self.branch, base=self.base, **note)

@@ -1,7 +1,9 @@
 """Versioned classes in a folder of any file system that Spark writes to.
 
-A commit writes only the classes it changes, as Parquet under its own id, then one small JSON row that
-names, for every class, the commit that holds its rows. A branch is a folder of numbered files that name
+A commit writes what it changes, as Parquet under its own id: whole classes, or a delta of rows that are put
+in or replaced and keys that go. Then one small JSON row names, for every class, the commits whose files make
+it up: a whole one and the deltas behind it, COMPACT of them at most, then the class is written anew. Reading
+joins the class once with the few rows of its deltas. A branch is a folder of numbered files that name
 commits, the last is its head. The next number is created only where it isn't there yet, from the number
 that was read before the work began, so of two writers of one head one gets a Conflict and no commit is
 lost. Every commit then appends its rows to the change log, which streams read, and marks that it has; a
@@ -14,10 +16,10 @@ from __future__ import annotations
 import datetime
 import urllib.parse
 import uuid
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.catalog import Catalog, CatalogError, Property
@@ -26,10 +28,27 @@ COMMIT = "id string, parent string, author string, message string, at timestamp,
 CHANGE = "commit string, branch string, cls string, id string, action string, at timestamp"
 
 
+COMPACT = 16
+
+
+@dataclass(frozen=True)
+class Delta:
+    """Changes of a class: rows that are put in or replace those of their key, and the keys (columns) of rows that go."""
+
+    rows: DataFrame | None = None
+    gone: DataFrame | None = None
+
+
 class Conflict(RuntimeError):
     """Both sides changed the same documents, or the branch moved while a commit was made."""
 
 
+def _like(rows: DataFrame, old: DataFrame) -> DataFrame:
+    """rows with the columns and types of old; what they lack is null."""
+    there = set(rows.columns)
+    return rows.select(*[(F.col(f"`{c.name}`") if c.name in there else F.lit(None)).cast(c.dataType).alias(c.name) for c in old.schema])
+
+
 class Store:
     def __init__(self, spark: SparkSession, path: str, catalog: Catalog):
         self.spark, self.path, self.catalog = spark, path.rstrip("/"), catalog
@@ -133,11 +152,32 @@ class Store:
         at = self.manifest(commit).tables.get(cls)
         if at is None:
             raise CatalogError(f"{cls} has no rows at {commit}")
-        return self.spark.read.parquet(f"{self.path}/data/{at}/{cls}")
+        return self._table(cls, at)
+
+    def _table(self, cls: str, at: str) -> DataFrame:
+        """The rows of a class from the commits that make it up."""
+        whole, *deltas = at.split("+")
+        base = self.spark.read.parquet(f"{self.path}/data/{whole}/{cls}")
+        if not deltas:
+            return base
+        key = list(self.catalog.get(cls).key)
+        last = self._deltas(cls, deltas)
+        return base.join(last.select(*key), key, "left_anti").select(*base.columns).unionByName(last.filter("not _gone").select(*base.columns))
+
+    def _deltas(self, cls: str, commits: list[str]) -> DataFrame:
+        """The last row of every key in some deltas; _gone tells those that go."""
+        out = None
+        for n, c in enumerate(commits):
+            df = self.spark.read.parquet(f"{self.path}/data/{c}/{cls}").withColumn("_n", F.lit(n))
+            out = df if out is None else out.unionByName(df)
+        if len(commits) == 1:
+            return out.drop("_n")
+        w = Window.partitionBy(*self.catalog.get(cls).key).orderBy(F.desc("_n"))
+        return out.withColumn("_last", F.row_number().over(w)).filter("_last = 1").drop("_n", "_last")
 
     def catalog_at(self, commit: str) -> Catalog:
         tables = self.manifest(commit).tables
-        return self.catalog.with_frames({k: (lambda at=at, k=k: self.spark.read.parquet(f"{self.path}/data/{at}/{k}")) for k, at in tables.items()})
+        return self.catalog.with_frames({k: (lambda at=at, k=k: self._table(k, at)) for k, at in tables.items()})
 
     def log(self, branch: str = "main") -> DataFrame:
         """The branch's commits, newest first (`n` counts from 0)."""
@@ -162,8 +202,8 @@ class Store:
         self.head(branch)
         return self._last(branch)
 
-    def write(self, changes: dict[str, DataFrame], branch: str = "main", author: str = "", message: str = "", base: tuple[int, str] | None = None) -> str:
-        """New rows of some classes: one commit behind `base`, which the rows were made from. The log gets what differs.
+    def write(self, changes: dict[str, DataFrame | Delta], branch: str = "main", author: str = "", message: str = "", base: tuple[int, str] | None = None) -> str:
+        """All rows of some classes, or what changes of them: one commit behind `base`, which they were made from. The log gets what differs.
 
         A branch that has moved since is a Conflict.
         """
@@ -171,9 +211,14 @@ class Store:
         self.log_changes(parent, branch)
         new = uuid.uuid4().hex
         tables = dict(self.manifest(parent).tables)
-        for cls, df in changes.items():
-            self._save(cls, new, df)
-            tables[cls] = new
+        for cls, change in changes.items():
+            at = tables.get(cls)
+            if isinstance(change, Delta) and at and at.count("+") < COMPACT:
+                self._save(cls, new, self._saved(cls, change, self._table(cls, at)))
+                tables[cls] = f"{at}+{new}"
+            else:
+                self._save(cls, new, self.applied(cls, change, self._table(cls, at)) if isinstance(change, Delta) else change)
+                tables[cls] = new
         out = self._commit(new, parent, branch, tables, author, message, n)
         self.log_changes(out, branch)
         return out
@@ -196,30 +241,55 @@ class Store:
         key = d.raw_key().cast("string")
         return df.withColumn("id", key if d.key == ("iri",) else F.concat(F.lit(f"{cls}/"), key))
 
-    def insert(self, cls: str, rows: DataFrame, branch: str = "main", **note) -> str:
-        base = self.base(branch)
-        return self.write({cls: self.read(cls, base[1]).unionByName(rows, allowMissingColumns=True)}, branch, base=base, **note)
-
-    def with_rows(self, cls: str, rows: DataFrame, old: DataFrame) -> DataFrame:
-        """A class's rows with these in the place of those of the same key."""
+    def _saved(self, cls: str, change: Delta, old: DataFrame) -> DataFrame:
+        """A delta as it is written: the class's columns and _gone."""
+        key, out = list(self.catalog.get(cls).key), None
+        if change.rows is not None:
+            out = _like(change.rows, old).withColumn("_gone", F.lit(False))
+        if change.gone is not None:
+            gone = _like(change.gone.select(*key).distinct(), old).withColumn("_gone", F.lit(True))
+            out = gone if out is None else out.unionByName(gone)
+        return out if out is not None else old.limit(0).withColumn("_gone", F.lit(False))
+
+    def applied(self, cls: str, change: Delta, old: DataFrame) -> DataFrame:
+        """A class's rows after a change."""
+        key, out = list(self.catalog.get(cls).key), old
+        for keys in (change.gone, change.rows):
+            if keys is not None:
+                out = out.join(_like(keys.select(*key), old).select(*key), key, "left_anti").select(*old.columns)
+        return out if change.rows is None else out.unionByName(_like(change.rows, old))
+
+    def then(self, cls: str, first: Delta | None, second: Delta) -> Delta:
+        """Both changes as one."""
+        if first is None:
+            return second
         key = list(self.catalog.get(cls).key)
-        kept = old.join(rows.select(*key), key, "left_anti").select(*old.columns)
-        return kept.unionByName(rows, allowMissingColumns=True)
+        keys = [x.select(*key) for x in (second.rows, second.gone) if x is not None]
+        rows, gone = first.rows, [x.select(*key) for x in (first.gone, second.gone) if x is not None]
+        for k in keys:
+            rows = rows.join(k, key, "left_anti").select(*rows.columns) if rows is not None else None
+        rows = second.rows if rows is None else rows if second.rows is None else rows.unionByName(second.rows, allowMissingColumns=True)
+        every = gone[0].unionByName(gone[1]) if len(gone) == 2 else gone[0] if gone else None
+        if every is not None and second.rows is not None:  # a key that comes back hasn't gone
+            every = every.join(second.rows.select(*key), key, "left_anti")
+        return Delta(rows, every)
+
+    def insert(self, cls: str, rows: DataFrame, branch: str = "main", **note) -> str:
+        return self.write({cls: Delta(rows)}, branch, **note)
 
     def update(self, cls: str, rows: DataFrame, branch: str = "main", **note) -> str:
         """Replaces documents of the same key, adds the others."""
-        base = self.base(branch)
-        return self.write({cls: self.with_rows(cls, rows, self.read(cls, base[1]))}, branch, base=base, **note)
+        return self.write({cls: Delta(rows)}, branch, **note)
 
-    def without(self, cls: str, keys: DataFrame, rows) -> dict[str, DataFrame]:
-        """Classes without the documents of `keys` (key: the raw key) and their subdocuments; rows(class) gives a class."""
+    def without(self, cls: str, keys: DataFrame, rows) -> dict[str, Delta]:
+        """Takes the documents of `keys` (key: the raw key) and their subdocuments out; rows(class) gives a class."""
         d, old = self.catalog.get(cls), rows(cls)
-        out = {cls: old.withColumn("_key", d.raw_key()).join(keys.select(F.col("key").alias("_key")), "_key", "left_anti").select(*old.columns)}
+        out = {cls: Delta(gone=old.withColumn("_key", d.raw_key()).join(keys.select(F.col("key").alias("_key")), "_key", "left_semi").select(*d.key))}
         for k, sub in self.catalog.classes.items():
             for p in self.catalog.properties(k).values() if sub.subdocument and sub.frame else ():
                 if p.link == cls and not p.many:
-                    of = out[k] if k in out else rows(k)
-                    out[k] = of.join(keys.select(F.col("key").alias(p.column)), p.column, "left_anti").select(*of.columns)
+                    below = rows(k).join(keys.select(F.col("key").alias(p.column)), p.column, "left_semi").select(*sub.key)
+                    out[k] = self.then(k, out.get(k), Delta(gone=below))
         return out
 
     def delete(self, cls: str, keys: DataFrame, branch: str = "main", **note) -> str:
@@ -228,11 +298,11 @@ class Store:
         raw = keys.select(self.catalog.get(cls).raw_key().alias("key"))
         return self.write(self.without(cls, raw, lambda k: self.read(k, base[1])), branch, base=base, **note)
 
-    def with_values(self, cls: str, p: Property, pairs: DataFrame, old: DataFrame, remove: bool = False) -> DataFrame:
-        """A class's rows with the values of `pairs` (key, value) set or removed; several for one document need a multi-valued property."""
+    def with_values(self, cls: str, p: Property, pairs: DataFrame, old: DataFrame, remove: bool = False) -> Delta:
+        """Sets or removes the values of `pairs` (key, value) in a class's rows; several for one document need a multi-valued property."""
         kind = old.schema[p.column].dataType
         by_key = pairs.select(F.col("key").alias("_key"), F.col("value").cast(kind.elementType if p.many else kind).alias("_v")).groupBy("_key").agg(F.collect_set("_v").alias("_vs"))
-        new = old.withColumn("_key", self.catalog.get(cls).raw_key()).join(by_key, "_key", "left")
+        new = old.withColumn("_key", self.catalog.get(cls).raw_key()).join(by_key, "_key")
         c, xs = F.col(p.column), F.col("_vs")
         if p.many:
             had = F.coalesce(c, F.array().cast(kind))
@@ -241,7 +311,7 @@ class Store:
             changed = F.when(F.array_contains(xs, c), F.lit(None)).otherwise(c)
         else:
             changed = F.when(F.size(xs) > 1, F.raise_error(F.lit(f"several values for {cls}.{p.name} of one document")).cast(kind)).otherwise(F.get(xs, F.lit(0)))
-        return new.withColumn(p.column, F.when(xs.isNotNull(), changed).otherwise(c)).select(*old.columns)
+        return Delta(new.withColumn(p.column, changed).select(*old.columns))
 
     def set_triples(self, cls: str, prop: str, rows: DataFrame, branch: str = "main", remove: bool = False, **note) -> str:
         """rows (key, value): sets a property, or removes that value (adds to or takes from a multi-valued one)."""
@@ -251,7 +321,13 @@ class Store:
     # -- differences ----------------------------------------------------------------------------
     def diff(self, cls: str, before: str, after: str) -> DataFrame:
         """id, action (added, deleted, updated), columns: old and new text of every column that differs."""
-        a, b = (self._keyed(cls, self.read(cls, c)) for c in (before, after))
+        a, b = (self.read(cls, c) for c in (before, after))
+        was, now = (self.manifest(c).tables[cls] for c in (before, after))
+        if now.startswith(f"{was}+"):  # only keys of the deltas between can differ
+            key = list(self.catalog.get(cls).key)
+            keys = self._deltas(cls, now[len(was) + 1 :].split("+")).select(*key)
+            a, b = a.join(keys, key, "left_semi").select(*a.columns), b.join(keys, key, "left_semi").select(*b.columns)
+        a, b = self._keyed(cls, a), self._keyed(cls, b)
         names = [c for c in b.columns if c != "id"]
         l, r = a.select("id", F.struct(*[c for c in a.columns if c != "id"]).alias("a")), b.select("id", F.struct(*names).alias("b"))
         both = l.join(r, "id", "full")
@@ -280,10 +356,14 @@ class Store:
     def patch(self, cls: str, diff: DataFrame, source: str, branch: str = "main", **note) -> str:
         """Applies a difference: rows it adds or updates come from the version `source`."""
         base = self.base(branch)
-        old = self._keyed(cls, self.read(cls, base[1]))
-        new = self._keyed(cls, self.read(cls, source)).join(diff.filter("action <> 'deleted'").select("id"), "id", "left_semi")
-        kept = old.join(diff.select("id"), "id", "left_anti")
-        return self.write({cls: kept.unionByName(new).drop("id")}, branch, base=base, **note)
+        return self.write({cls: self._taken(cls, diff, source, base[1])}, branch, base=base, **note)
+
+    def _taken(self, cls: str, diff: DataFrame, source: str, head: str) -> Delta:
+        """What a difference to the version `source` changes at a head."""
+        key = self.catalog.get(cls).key
+        new = self._keyed(cls, self.read(cls, source)).join(diff.filter("action <> 'deleted'").select("id"), "id", "left_semi").drop("id")
+        gone = self._keyed(cls, self.read(cls, head)).join(diff.filter("action = 'deleted'").select("id"), "id", "left_semi").select(*key)
+        return Delta(new, gone)
 
     def created(self, commit: str, cls: str | None = None) -> DataFrame:
         """cls, id of the documents that a commit added; a first commit added none."""
@@ -338,9 +418,7 @@ class Store:
             diff = self.diff(cls, base, theirs)
             if a[cls] != z.get(cls) and not diff.join(self.diff(cls, base, ours), "id", "left_semi").isEmpty():
                 raise Conflict(f"{cls} changed on both sides")
-            old = self._keyed(cls, self.read(cls, ours))
-            new = self._keyed(cls, self.read(cls, theirs)).join(diff.filter("action <> 'deleted'").select("id"), "id", "left_semi")
-            changes[cls] = old.join(diff.select("id"), "id", "left_anti").unionByName(new).drop("id")
+            changes[cls] = self._taken(cls, diff, theirs, ours)
         return self.write(changes, branch, base=at, **note) if changes else ours
 
     def rebase(self, branch: str, onto: str = "main") -> str:
@@ -364,9 +442,7 @@ class Store:
             m, was, head = self.manifest(commit), self.manifest(before).tables, self.head(side)
             changes = {}
             for cls in (k for k, at in m.tables.items() if was.get(k) != at):
-                diff = self.diff(cls, before, commit)
-                new = self._keyed(cls, self.read(cls, commit)).join(diff.filter("action <> 'deleted'").select("id"), "id", "left_semi")
-                changes[cls] = self._keyed(cls, self.read(cls, head)).join(diff.select("id"), "id", "left_anti").unionByName(new).drop("id")
+                changes[cls] = self._taken(cls, self.diff(cls, before, commit), commit, head)
             self.write(changes, side, author=m.author, message=m.message)
             before = commit
         out = self.head(side)
