@@ -157,3 +157,34 @@ def _by_class(session: Session) -> DataFrame:
 frame("window_session", lambda s_: changes.sessions(s_.catalog.get("Event").frame(), "2 hours").select("start", "end", "user_id", "n"), """WITH marked AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 2 HOURS THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
   numbered AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM marked)
   SELECT min(ts) AS start, max(ts) + INTERVAL 2 HOURS AS "end", user_id, count(*) AS n FROM numbered GROUP BY user_id, s""")
+frame("text_form", lambda s_: s_.text('select([$x, $k], and(triple($r, "r_name", $x), count(triple($n, "region", $r), $k)))'), "SELECT r_name AS x, count(n_nationkey) AS k FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name")
+frame("sql_raw_keys", lambda s_: s_.sql("SELECT r_name, sum(o.o_totalprice) > 0 AS some FROM region r JOIN nation n ON n.region = r.iri JOIN customer c ON c.nation = n.iri JOIN `order` o ON o.customer = c.iri GROUP BY r_name"), "SELECT r_name, sum(o_totalprice) > 0 AS some FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey GROUP BY r_name")
+frame("unfolded", lambda s_: s_.unfold("Nation", classes=("Region",)).select("id", F.get_json_object("document", "$.region.r_name").alias("region"), F.get_json_object("document", "$.n_name").alias("name")), "SELECT 'Nation/' || n_nationkey AS id, r_name AS region, n_name AS name FROM nation JOIN region ON r_regionkey = n_regionkey")
+frame("path_to_class", lambda s_: s_.model("Supplier").query({"s_acctbal": {"gt": 9000.0}}).path_to("Region", "nation,region"), "SELECT 'Supplier/' || s_suppkey AS id, 'Region/' || n_regionkey AS target FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_acctbal > 9000")
+
+
+def loaded(session: Session) -> DataFrame:
+    """Documents as JSON, a nested one among them, into a branch."""
+    from .documents import Loader
+
+    store = _store(session, "Nation", "Region")
+    rows = [('{"@type": "Nation", "@id": "Nation/70", "n_name": "SEVENTY", "region": {"@type": "Region", "@id": "Region/70", "r_name": "NEW"}}',), ('{"@type": "Nation", "@id": "Nation/3", "n_name": "THREE", "region": "Region/0"}',)]
+    Loader(store).load(session.spark.createDataFrame(rows, "document string"), replace=True)
+    return Session(session.spark, store=store).run(Select([n, x, y], And(Triple(n, "n_name", x), Link(n, "region", r), Triple(r, "r_name", y))))
+
+
+frame("json_documents", loaded, "SELECT 'Nation/' || n_nationkey AS n, CASE n_nationkey WHEN 3 THEN 'THREE' ELSE n_name END AS x, r_name AS y FROM nation JOIN region ON r_regionkey = CASE n_nationkey WHEN 3 THEN 0 ELSE n_regionkey END UNION ALL SELECT 'Nation/70', 'SEVENTY', 'NEW'")
+
+
+def patched(session: Session) -> DataFrame:
+    """The patches from one version's documents to the next, and the old documents after them."""
+    from ..sources.patches import diff_documents, patch_documents
+
+    old = session.catalog.get("Region").frame().select(F.concat(F.lit("Region/"), F.col("r_regionkey")).alias("id"), F.to_json(F.struct(F.split("r_name", "").alias("letters"))).alias("document"))
+    new = session.catalog.get("Region").frame().filter("r_regionkey <> 4").select(F.concat(F.lit("Region/"), F.col("r_regionkey")).alias("id"), F.to_json(F.struct(F.split(F.regexp_replace("r_name", "A", "XY"), "").alias("letters"))).alias("document"))
+    done = patch_documents(old, diff_documents(old, new))
+    return done.select("id", F.array_join(F.from_json("document", "letters array<string>")["letters"], "").alias("name"))
+
+
+frame("patch_lists", patched, "SELECT 'Region/' || r_regionkey AS id, replace(r_name, 'A', 'XY') AS name FROM region WHERE r_regionkey <> 4")
+frame("instances_where", lambda s_: s_.instances("Customer", {"c_mktsegment": "BUILDING", "nation": "Nation/3"}, 5, 2).select("id", "c_name"), "SELECT 'Customer/' || c_custkey AS id, c_name FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 3 ORDER BY 'Customer/' || c_custkey LIMIT 5 OFFSET 2")

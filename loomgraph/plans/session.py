@@ -79,6 +79,18 @@ class Session:
 
         return run(self, text)
 
+    def text(self, text: str) -> DataFrame:
+        """A query in the text form."""
+        from .text_form import parse
+
+        return self.run(parse(text))
+
+    def json(self, query: Any) -> DataFrame:
+        """A query in the JSON form, as an object or as text."""
+        from .json_form import from_json
+
+        return self.run(from_json(query))
+
     def sparql(self, text: str) -> DataFrame:
         from .sparql import compile_sparql
 
@@ -102,6 +114,14 @@ class Session:
         page = rows.orderBy("id").offset(skip)
         return page if count is None else page.limit(count)
 
+    def instances(self, cls: str, where: dict | None = None, limit: int | None = None, offset: int = 0) -> DataFrame:
+        """Documents of a class whose properties equal the given values, in order of id, a page of them."""
+        found = self.model(cls).query({k: {"eq": x} for k, x in (where or {}).items()}).frame().orderBy("id").offset(offset)
+        return found if limit is None else found.limit(limit)
+
+    def count_instances(self, cls: str, where: dict | None = None) -> int:
+        return self.model(cls).query({k: {"eq": x} for k, x in (where or {}).items()}).count()
+
     def entities(self, commit: str | None = None, cls: str | None = None) -> DataFrame:
         """cls, id of the documents that a commit (by default the one read) created."""
         if self.store is None:

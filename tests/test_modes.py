@@ -266,3 +266,58 @@ def test_lowering_runs_closures_once(star, monkeypatch):
 def test_registered_modes_have_sql():
     names = [q for q in queries.QUERIES if q not in queries.SQL]
     assert not names and queries_modes is not None
+
+
+def test_text_form():
+    from loomgraph.plans import text_form as T
+
+    q = T.parse('vars($Name) select([$Name, $Age], and(triple($P, "rdf:type", "@schema:Person"), triple($P, "@schema:name", $Name), triple("@schema:Person/1", "age", $Age), greater($Age, 18)))')
+    assert q == Select([A.Var("Name"), A.Var("Age")], And(Triple(A.Var("P"), "rdf:type", Iri("Person")), Triple(A.Var("P"), "name", A.Var("Name")), Triple(Iri("Person/1"), "age", A.Var("Age")), A.Greater(A.Var("Age"), 18)))
+    both = T.parse('or(eval(plus($x, times(2, 3.5)), $z), order_by([asc($x), desc($y)], opt(path($a, seq(plus(pred("p")), star(inv("q"))), $b))), limit(3, group_by($t, [$k], $g, not(regexp($s, "a.*", $g)))), count(true(), $n), concat([$a, "b", true], $c))')
+    assert T.parse(T.render(both)) == both
+    for bad in ("and(", "foo()", 'triple($a, "b")', 'triple($a, "b", $c) x', 'limit("a", true())', "select([1], true())"):
+        with pytest.raises(T.TextError):
+            T.parse(bad)
+
+
+def test_sql_compares_raw_keys(star):
+    q = "SELECT n_name, count(*) AS k FROM customer c JOIN nation ON c.nation = nation.iri WHERE c.c_acctbal > 0 GROUP BY n_name"
+    plan = star.sql(q)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Nation/" not in plan
+    assert sorted(map(tuple, star.sql(q).collect())) == sorted(map(tuple, star.sql(q.replace("c.nation = nation.iri", "concat(c.nation, '') = nation.iri")).collect()))
+    kept = star.sql("SELECT * FROM customer c JOIN nation n ON c.nation = n.iri")
+    assert kept.columns == ["iri", "c_custkey", "c_name", "c_acctbal", "c_mktsegment", "nation", "iri", "n_nationkey", "n_name", "region"]
+    for refused in ("c.nation < n.iri", "n.iri >= c.nation"):
+        with pytest.raises(CatalogError, match="no order"):
+            star.sql(f"SELECT n_name FROM customer c, nation n WHERE {refused}")
+
+
+def test_commits_write_deltas(spark, sf, monkeypatch):
+    """Random changes of one class against a dict, over the number of deltas that makes it whole again."""
+    import random
+
+    from loomgraph.sources import versions
+
+    monkeypatch.setattr(versions, "COMPACT", 3)
+    store = queries._store(Session(spark, tpch(spark, sf)), "Region")
+    rng = random.Random(5)
+    want = {e.r_regionkey: e.r_name for e in store.read("Region", store.head("main")).collect()}
+    heads = [(store.head("main"), dict(want))]
+    for step in range(7):
+        if rng.random() < 0.3 and want:
+            key = rng.choice(sorted(want))
+            del want[key]
+            store.delete("Region", spark.createDataFrame([(key,)], "r_regionkey int"))
+        else:
+            new = [(rng.randint(0, 9), f"v{step}{n}") for n in range(2)]
+            new = list({k_: (k_, t) for k_, t in new}.values())
+            want |= dict(new)
+            store.update("Region", spark.createDataFrame(new, "r_regionkey int, r_name string"))
+        heads.append((store.head("main"), dict(want)))
+    chains = [store.manifest(h).tables["Region"].count("+") for h, _ in heads]
+    assert max(chains) == 3 and chains.count(0) == 2
+    for h, rows_ in heads[::3] + heads[-1:]:
+        assert {e.r_regionkey: e.r_name for e in store.read("Region", h).collect()} == rows_
+    (a, old), (b, new) = heads[2], heads[4]
+    changed = {(f"Region/{k_}", "added" if k_ not in old else "deleted" if k_ not in new else "updated") for k_ in {*old, *new} if old.get(k_) != new.get(k_)}
+    assert {(e.id, e.action) for e in store.diff("Region", a, b).collect()} == changed
