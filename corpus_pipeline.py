@@ -19,10 +19,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of a group the row with the smallest doc_id stays; of repeated rows with that id in the group one."""
-    keep = simhash.survivors(docs)
-    keyed = docs.withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    kept = keyed.join(keep, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"]).drop("key")
-    return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    key = "_key"
+    while key in docs.columns:  # a name that no column of the documents has
+        key = f"_{key}"
+    keep = simhash.survivors(docs).withColumnRenamed("key", key)
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    kept = keyed.join(keep, ["doc_id", key], "left_semi").dropDuplicates(["doc_id", key]).drop(key)
+    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
