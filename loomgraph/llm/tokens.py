@@ -91,9 +91,11 @@ class WordEncoder(PieceEncoder):
         self.chunks = _Memo(self.chunk_ids, CHUNKS)
 
     def chunk_ids(self, chunk: str) -> bytes:
-        found = self.split.findall(chunk.lower())
-        # a chunk of one piece is kept as a chunk alone
-        return self.piece_ids(found[0]) if len(found) == 1 else b"".join([self.pieces[p] for p in found])
+        low = chunk.lower()
+        if low.isalpha():  # letters alone are one piece, kept in lower case
+            return self.piece_ids(low) if low == chunk else self.chunks[low]
+        found = self.split.findall(low)
+        return b"".join([self.chunks[p] if p.isalpha() else self.pieces[p] for p in found])
 
     def encode(self, text: str) -> bytes:
         if self.odd.search(text):
