@@ -1201,7 +1201,7 @@ class Lowerer:
             i = f.info.get(x.name)
             return None if i is None else frozenset([i.cls]) if i.cls else i.among
         at = _name(x).split("/")[0]
-        known = at in self.catalog.classes and not any(d.key == ("iri",) for d in self.catalog.classes.values())
+        known = at in self.catalog.classes and not any(d.frame and d.key == ("iri",) for d in self.catalog.classes.values())
         return frozenset([at]) if known else None
 
     def do_Path(self, node, f):
