@@ -14,11 +14,15 @@ page is read again with such boxes ending where an article begins (boxes of comm
 Suffixes are sorted by prefix doubling until RUN tokens are told apart: coverage by runs of RUN tokens
 or more is the union of the RUN-token windows that repeat, so deeper order would change nothing.
 
-Only pages without an article or main element need their host's repeats; the others' text follows from the
-page alone. A host of at most SHARD pages is solved in one task by its suffix array. In a larger one, no
-task holds the host: its RUN-token windows are hashed (64 bits), those on two pages or more are found by a
-pre-aggregated shuffle and joined back to the pages, so what repeats is the same as with one suffix array
-over the host.
+Every page goes through its host's suffix array. For a page with an article or main element it tells how many
+words of its text repeat on the host (n_repeated); for any other it also decides the text.
+
+A host of at most SHARD pages and BYTES of html is one part, sorted in one task. The pages of a larger host
+are dealt to parts; each has a suffix array of its own, and what repeats across parts is found by the names
+(64-bit hashes) of RUN-token windows. Few windows need comparing: equal windows hold the same least hash of
+GRAM tokens in a row, so first the parts' least hashes are compared, packed, and only windows whose least hash
+comes in several parts send their names, with the pages that hold them. So what repeats is the same as with
+one suffix array over the host.
 
 A null or empty html, and a page without text, gives an empty string. Repeated rows are rows each (the
 same page_id counts as one page). An empty table gives no rows.
@@ -28,17 +32,19 @@ from __future__ import annotations
 
 import html
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, record_batch, ship
 
-RUN, SHARD, MANY = 8, 512, 50_000
+RUN, GRAM, SHARD, BYTES, MANY = 8, 4, 512, 1 << 24, 50_000
+BUCKETS, KEY_BITS = 512, 40
 
 # Element names and the words of class, id and role that mark what is no main text.
 RAW = {"script", "style", "textarea", "title", "noscript", "xmp", "iframe"}
@@ -178,8 +184,9 @@ def suffix_ranks(rank: np.ndarray, run: int) -> np.ndarray:
         step = min(depth, run - depth)
         after = np.full(n, -1, np.int64)
         after[: n - step] = rank[step:]
-        order = np.lexsort((after, rank))  # the suffix array so far
-        new = np.concatenate(([0], np.cumsum((np.diff(rank[order]) != 0) | (np.diff(after[order]) != 0))))
+        both = rank * (int(rank.max()) + 2) + after + 1
+        order = np.argsort(both)  # the suffix array so far
+        new = np.concatenate(([0], np.cumsum(np.diff(both[order]) != 0)))
         rank = np.empty(n, np.int64)
         rank[order] = new
         depth += step
@@ -199,9 +206,8 @@ def repeated(streams: list[np.ndarray], pages: list[int], run: int = RUN) -> lis
         tokens[e - 1 - len(s) : e - 1] = s
         page[e - 1 - len(s) : e] = p
     _, rank = np.unique(tokens, return_inverse=True)
-    rank = rank.astype(np.int64) + total
+    rank = rank.astype(np.int64) + len(ends)
     rank[ends - 1] = np.arange(len(ends))  # separators are all different, so no run crosses one
-    _, rank = np.unique(rank, return_inverse=True)
     rank = suffix_ranks(rank, run)
     # suffixes in order; neighbours of one rank share `run` tokens at least
     n = int(rank.max()) + 1
@@ -232,17 +238,44 @@ _UNIT, _FIELD = "\x1e", "\x1f"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
-def windows(words: list[str]) -> np.ndarray:
-    """A 64-bit hash of each RUN words in a row, the same in every process."""
-    h = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)
-    n = len(h) - RUN + 1
+def hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes of the words, the same in every process."""
+    once = {w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in set(words)}
+    return np.fromiter(map(once.__getitem__, words), np.uint64, len(words))
+
+
+def windows(tokens: np.ndarray, site: int, run: int = RUN) -> np.ndarray:
+    """A 64-bit hash of each `run` tokens in a row and the host's hash."""
+    n = len(tokens) - run + 1
     if n < 1:
-        return np.zeros(0, np.int64)
-    out = np.zeros(n, np.uint64)
-    for k in range(RUN):
-        out = (out ^ h[k : k + n]) * _ODD[k]
+        return np.zeros(0, np.uint64)
+    out = np.full(n, site & 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for k in range(run):
+        out = (out ^ tokens[k : k + n]) * _ODD[k]
         out ^= out >> np.uint64(32)
-    return out.view(np.int64)
+    return out
+
+
+def least(tokens: np.ndarray, site: int) -> np.ndarray:
+    """For each window of RUN tokens a key of KEY_BITS bits, equal for equal windows; neighbours mostly share it."""
+    grams = windows(tokens, site, GRAM)
+    n = len(tokens) - RUN + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    low = grams[:n].copy()
+    for k in range(1, RUN - GRAM + 1):
+        np.minimum(low, grams[k : k + n], out=low)
+    return (low * _ODD[0]) >> np.uint64(64 - KEY_BITS)  # least hashes are small; the product spreads them
+
+
+def pack(keys: np.ndarray) -> bytes:
+    """Keys in ascending order as compressed planes of the bytes of their differences."""
+    return zstandard.ZstdCompressor(1).compress(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpack(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
 def _words(page: list[tuple[bool, float, str]]) -> list[str]:
@@ -256,115 +289,128 @@ def _opened(blobs):
         yield [(a == "1", float(b), t) for a, b, t in (x.split(_FIELD, 2) for x in text.split(_UNIT))] if text else []
 
 
-def _texts(page_id: list, url: list, found: list, cover: list[np.ndarray]) -> pa.RecordBatch:
+def _rows(part: pa.Table, found: list, cover: list[np.ndarray]) -> pa.Table:
     """Rows of the result; cover: which tokens of a page lie in repeated runs."""
-    texts = []
+    texts, again = [], []
     for f, c in zip(found, cover, strict=True):
-        ends = np.cumsum([len(t.split()) for _, _, t in f])
-        texts.append(main_text(f, np.split(c, ends[:-1]) if f else []))
-    return record_batch({"page_id": (page_id, pa.int64()), "url": (url, pa.string()), "text": (texts, pa.string()), "n_chars": ([len(t) for t in texts], pa.int64())})
+        each = np.split(c, np.cumsum([len(t.split()) for _, _, t in f])[:-1]) if c.any() else [c] * len(f)
+        texts.append(main_text(f, each))
+        again.append(sum(int(x.sum()) for (inside, _, _), x in zip(f, each, strict=True) if inside) if c.any() else 0)
+    out = record_batch({"page_id": (part.column("page_id").to_pylist(), pa.int64()), "url": (part.column("url").to_pylist(), pa.string()), "text": (texts, pa.string()), "n_chars": ([len(t) for t in texts], pa.int64()), "n_repeated": (again, pa.int64())})
+    return pa.Table.from_batches([out])
 
 
-_RESULT = "page_id long, url string, text string, n_chars long"
+_RESULT = "page_id long, url string, text string, n_chars long, n_repeated long"
 
 
 def extract(pages: DataFrame, shard: int = SHARD) -> DataFrame:
-    """page_id, url, text, n_chars for every row."""
+    """page_id, url, text, n_chars for every row; n_repeated: words of the text in runs that another page of the host has.
+
+    Runs outside articles are cut out, so only text inside an article or main element counts there.
+    """
     ship(pages.sparkSession)
     spark = pages.sparkSession
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
+    base = base.withColumn("host", host)
 
     def parse(batches):
         squeeze = zstandard.ZstdCompressor(3)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                blobs, bare = [], []
-                for text in part.column("html").to_pylist():
-                    found = blocks(text)
-                    bare.append(not any(inside for inside, _, _ in found))
-                    blobs.append(squeeze.compress(_UNIT.join(f"{int(i)}{_FIELD}{s:.3f}{_FIELD}{t}" for i, s, t in found).encode("utf-8", "surrogatepass")))
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), part.column("host"), pa.array(bare, pa.bool_()), pa.array(blobs, pa.binary())], names=["page_id", "url", "host", "bare", "blob"])
-
-    parsed = materialise(base.withColumn("host", host).select("page_id", "url", "host", "html").mapInArrow(parse, "page_id long, url string, host string, bare boolean, blob binary"), "parsed-pages")
-    # hosts with a bare page (one without article or main): no other needs repeats
-    hosts = materialise(parsed.groupBy("host").agg(F.count("*").alias("n"), F.max("bare").alias("any")).filter("any").select("host", (F.col("n") > shard).alias("large")), "bare-hosts")
-    # sent to all tasks only if they are few, else joined by host
-    few = hosts.limit(MANY + 1).count() <= MANY
-    met = parsed.join(F.broadcast(hosts) if few else hosts, "host")
-
-    def alone(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                found = list(_opened(part.column("blob").to_pylist()))
-                yield _texts(part.column("page_id").to_pylist(), part.column("url").to_pylist(), found, [np.zeros(len(_words(f)), bool) for f in found])
-
-    out = parsed.filter("not bare").select("page_id", "url", "blob").mapInArrow(alone, _RESULT)
-    return out.unionByName(_of_small(met.filter("not large"))).unionByName(_of_large(met.filter("large")))
+                blobs = [squeeze.compress(_UNIT.join(f"{int(i)}{_FIELD}{s:.3f}{_FIELD}{t}" for i, s, t in blocks(text)).encode("utf-8", "surrogatepass")) for text in part.column("html").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("page_id", "url", "host", "row")), pa.array(blobs, pa.binary())], names=["page_id", "url", "host", "row", "blob"])
 
-
-def _of_small(pages: DataFrame) -> DataFrame:
-    """The bare pages' rows; a host is one task."""
-    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_pages = pages.select("host", "page_id", "url", "bare", "blob").repartition(n, "host").sortWithinPartitions("host")
-
-    def solve(rows):
-        found = list(_opened(r[3] for r in rows))
-        streams = [np.array([hash(w) for w in _words(f)], np.int64) for f in found]
-        number = {p: k for k, p in enumerate({r[0] for r in rows})}
-        cover = repeated(streams, [number[r[0]] for r in rows])
-        own = [k for k, r in enumerate(rows) if r[2]]
-        return _texts([rows[k][0] for k in own], [rows[k][1] for k in own], [found[k] for k in own], [cover[k] for k in own])
-
-    def run(batches):
-        held, key = [], None
-        for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("host", "page_id", "url", "bare", "blob")]
-            for h, *row in zip(*cols, strict=True):
-                if h != key:
-                    if held:
-                        yield solve(held)
-                    held, key = [], h
-                held.append(row)
-        if held:
-            yield solve(held)
-
-    return sorted_pages.mapInArrow(run, _RESULT)
-
-
-def _of_large(pages: DataFrame) -> DataFrame:
-    """The bare pages' rows; a host's windows are dealt by their hash."""
-    # rows alike in all that decides share a key
-    keyed = pages.withColumn("row", F.xxhash64("page_id", "url", "blob")).withColumn("page", F.xxhash64("page_id"))
-
-    def cut(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                found = [np.unique(windows(_words(f))) for f in _opened(part.column("blob").to_pylist())]
-                rows = np.repeat(np.arange(len(found)), [len(w) for w in found])
-                yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(rows)) for c in ("host", "page", "row", "bare")), pa.array(np.concatenate(found), pa.int64())], names=["host", "page", "row", "bare", "win"])
-
-    every = keyed.select("host", "page", "row", "bare", "blob").mapInArrow(cut, "host string, page long, row long, bare boolean, win long").select(F.xxhash64("host").alias("host"), "page", "row", "bare", "win")
-    # on two pages or more, one of them bare
-    again = every.groupBy("host", "win").agg(F.min("page").alias("a"), F.max("page").alias("b"), F.max("bare").alias("bare")).filter("a <> b and bare").select("host", "win")
-    runs = every.filter("bare").select("host", "win", "row").join(again, ["host", "win"]).groupBy("row").agg(F.collect_set("win").alias("wins"))
-    ready = keyed.filter("bare").select("page_id", "url", "blob", "row").join(runs, "row", "left").select("page_id", "url", "blob", "wins")
-
-    def finish(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                found, cover = list(_opened(part.column("blob").to_pylist())), []
-                for f, wins in zip(found, part.column("wins").to_pylist(), strict=True):
-                    words = _words(f)
-                    begins = np.isin(windows(words), np.array(wins or [], np.int64))
-                    c = np.zeros(len(words), bool)
-                    for k in range(RUN):
-                        c[k : k + len(begins)] |= begins
-                    cover.append(c)
-                yield _texts(part.column("page_id").to_pylist(), part.column("url").to_pylist(), found, cover)
-
-    return ready.mapInArrow(finish, _RESULT)
+    parts = F.ceil(F.greatest(F.count("*") / shard, F.sum(F.octet_length("html")) / BYTES))
+    large = materialise(base.groupBy("host").agg(parts.alias("parts")).filter("parts > 1"), "large-hosts")
+    n_large, n_parts = large.agg(F.count("*"), F.coalesce(F.sum("parts"), F.lit(0))).first()
+    # sent to all tasks only if they are few, else joined by host
+    sizes = F.broadcast(large) if n_large <= MANY else large
+    parsed = base.withColumn("row", F.xxhash64("page_id", "url", "html")).select("page_id", "url", "host", "row", "html").mapInArrow(parse, "page_id long, url string, host string, row long, blob binary")
+    dealt = parsed.join(sizes, "host", "left").select(
+        F.xxhash64("host", F.expr("pmod(row, coalesce(parts, 1))")).alias("part"), F.xxhash64("host").alias("site"), (F.col("parts") > 1).alias("large"), F.xxhash64("page_id").alias("page"), "page_id", "url", "blob"
+    )
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = dealt.repartition(n, "part")  # one shuffle, read by each step
+    if not n_large:
+        return held.groupBy("part").applyInArrow(_solve, _RESULT)
+    met = held.groupBy("part").cogroup(_across(held, n_parts).groupBy("part"))
+    return met.applyInArrow(_solve_with, _RESULT)
+
+
+def _across(held: DataFrame, n_parts: int) -> DataFrame:
+    """(part, name): the windows of parts of large hosts that come on two pages or more, in several parts."""
+    buckets = max(BUCKETS, n_parts // 128)
+
+    def send(part: pa.Table) -> pa.Table:
+        out = []
+        if part.column("large")[0].as_py():
+            _, tokens, sizes, site = _held(part)
+            keys = np.unique(least(tokens, site)[_whole(sizes)])
+            bucket = (keys * np.uint64(buckets) >> np.uint64(KEY_BITS)).astype(np.int64)
+            begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+            out = [(int(bucket[a]), pack(k)) for a, k in zip(begins.tolist(), np.split(keys, begins[1:]), strict=True)] if len(keys) else []
+        return pa.table({"bucket": pa.array([b for b, _ in out], pa.int64()), "part": pa.array([part.column("part")[0].as_py()] * len(out), pa.int64()), "keys": pa.array([k for _, k in out], pa.binary())})
+
+    def common(bucket: pa.Table) -> pa.Table:
+        lists = [unpack(k) for k in bucket.column("keys").to_pylist()]
+        every = np.sort(np.concatenate(lists))
+        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        kept = [k[np.isin(k, twice, assume_unique=True)] for k in lists]
+        out = [(p, pack(k)) for p, k in zip(bucket.column("part").to_pylist(), kept, strict=True) if len(k)]
+        return pa.table({"part": pa.array([p for p, _ in out], pa.int64()), "keys": pa.array([k for _, k in out], pa.binary())})
+
+    def name(part: pa.Table, met: pa.Table) -> pa.Table:
+        names, pages = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if part.num_rows and met.num_rows:
+            keys = np.concatenate([unpack(k) for k in met.column("keys").to_pylist()])
+            _, tokens, sizes, site = _held(part)
+            sent = np.flatnonzero(_whole(sizes) & np.isin(least(tokens, site), keys))
+            names, pages = windows(tokens, site)[sent], np.repeat(part.column("page").to_numpy(), sizes)[sent]
+        order = np.lexsort((pages, names))
+        names, pages = names[order], pages[order]
+        first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1]))[: len(names)])
+        last = np.concatenate((first[1:], [len(names)]))[: len(first)] - 1
+        key = part.column("part")[0].as_py() if part.num_rows else 0
+        return pa.table({"part": pa.array([key] * len(first), pa.int64()), "name": names[first].view(np.int64), "low": pages[first], "high": pages[last]})
+
+    keys = held.groupBy("part").applyInArrow(send, "bucket long, part long, keys binary")
+    met = keys.groupBy("bucket").applyInArrow(common, "part long, keys binary")
+    named = held.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(name, "part long, name long, low long, high long")
+    same = Window.partitionBy("name")
+    return named.withColumn("least", F.min("low").over(same)).withColumn("most", F.max("high").over(same)).filter("least <> most").select("part", "name")
+
+
+def _held(part: pa.Table) -> tuple[list, np.ndarray, np.ndarray, int]:
+    """Blocks of each page, the tokens of all pages, how many each has, and the hash of the host."""
+    found = list(_opened(part.column("blob").to_pylist()))
+    words = [_words(f) for f in found]
+    sizes = np.array([len(w) for w in words], np.int64)
+    return found, hashes(list(chain.from_iterable(words))), sizes, part.column("site")[0].as_py()
+
+
+def _whole(sizes: np.ndarray, run: int = RUN) -> np.ndarray:
+    """Which windows of `run` tokens lie in one page, for tokens of all pages in a row."""
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(int(sizes.sum()))
+    return left[: max(0, len(left) - run + 1)] >= run
+
+
+def _solve(part: pa.Table) -> pa.Table:
+    """The rows of a part by its suffix array."""
+    return _solve_with(part, None)
+
+
+def _solve_with(part: pa.Table, across: pa.Table | None) -> pa.Table:
+    """The same, with the names of windows that repeat in other parts of the host."""
+    found, tokens, sizes, site = _held(part)
+    ends = np.cumsum(sizes)
+    _, pages = np.unique(part.column("page").to_numpy(), return_inverse=True)
+    cover = repeated(np.split(tokens.view(np.int64), ends[:-1]), pages.tolist())
+    if across is not None and across.num_rows:
+        begins = _whole(sizes) & np.isin(windows(tokens, site), across.column("name").to_numpy().view(np.uint64))
+        far = np.zeros(len(tokens), bool)
+        for k in range(RUN):
+            far[k : k + len(begins)] |= begins
+        cover = [c | d for c, d in zip(cover, np.split(far, ends[:-1]), strict=True)]
+    return _rows(part, found, cover)

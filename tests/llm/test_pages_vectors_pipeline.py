@@ -97,6 +97,59 @@ def test_unique_words_of_a_block_stay(spark):
         assert got == {k: f"author{k} today{k}\nEverything unique{k} is linked here{k} x{k}\none{k}" for k in range(3)}
 
 
+def repeated_words(rows):
+    """By brute force: for each row (page_id, url, html), how many words of its articles lie in RUN words that another page of the host has."""
+    where, run = {}, html_text.RUN
+    pages = [(i, (u or "").split("/")[2] if "//" in (u or "") else "", html_text.blocks(h or "")) for i, u, h in rows]
+    words = [[w for _, _, t in f for w in t.split()] for _, _, f in pages]
+    for (i, host, _), ws in zip(pages, words):
+        for k in range(len(ws) - run + 1):
+            where.setdefault((host, *ws[k : k + run]), set()).add(i)
+    out = []
+    for (_, host, f), ws in zip(pages, words):
+        cover = [False] * len(ws)
+        for k in range(len(ws) - run + 1):
+            if len(where[(host, *ws[k : k + run])]) > 1:
+                cover[k : k + run] = [True] * run
+        inside = [x for x, _, t in f for _ in t.split()]
+        out.append(sum(c and x for c, x in zip(cover, inside, strict=True)))
+    return out
+
+
+@pytest.mark.parametrize("shard", [3, 512])
+def test_every_page_goes_through_its_hosts_suffix_array(spark, sf, shard):
+    """Pages with an article too: their whole text stays, n_repeated is what the suffix array finds in it."""
+    pages = table(spark, sf, "pages")
+    rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
+    words = lambda seed, n: " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 10**6, n))
+    shared = words(0, 9)
+    rows += [(10**6 + k, f"https://h.example/{k}", f"<article><p>{words(k + 1, 5)} {shared}<p>{words(k // 2 + 90, 8)}</article>") for k in range(12)]
+    rows += [rows[-1], (None, "https://h.example/n", f"<main>{shared}</main>"), (None, "https://h.example/n", f"<main>{shared}</main>"), (10**6 + 50, "https://h.example/b", f"<p>own {shared}"), (10**6 + 51, "https://g.example/b", f"<article>{shared}</article>"), (10**6 + 52, "https://h.example/e", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {}
+    for (i, u, h), n in zip(rows, repeated_words(rows)):
+        want.setdefault((i, u), []).append(n)
+    got = {}
+    for r in html_text.extract(df, shard).collect():
+        got.setdefault((r.page_id, r.url), []).append(r.n_repeated)
+        if (r.page_id or 0) >= 10**6 and "h.example" in r.url and r.n_chars > 3:
+            assert shared in r.text  # an article stays whole
+    assert got == want and want[10**6, "https://h.example/0"] == [17] and want[10**6 + 51, "https://g.example/b"] == [0]
+    assert sum(n for (i, _), ns in want.items() for n in ns if i is not None and i < 10**6) > 0  # the given pages have some
+
+
+def test_windows_meet_by_their_least_hash():
+    rng = np.random.default_rng(4)
+    tokens = html_text.hashes([f"w{x}" for x in rng.integers(0, 2, 3000)])
+    names, keys = html_text.windows(tokens, -5), html_text.least(tokens, -5)
+    plain = [tuple(tokens[k : k + html_text.RUN].tolist()) for k in range(len(tokens) - html_text.RUN + 1)]
+    assert len(set(zip(plain, names.tolist(), keys.tolist()))) == len(set(plain)) == len(set(names.tolist()))
+    assert not set(names.tolist()) & set(html_text.windows(tokens, 6).tolist())
+    assert not len(html_text.least(tokens[:7], 1)) and html_text._whole(np.array([0, 9, 3, 8, 7])).nonzero()[0].tolist() == [0, 1, 12]
+    for big in (np.zeros(0, np.uint64), np.array([0], np.uint64), np.unique(rng.integers(0, 1 << 40, 5000).astype(np.uint64))):
+        assert np.array_equal(html_text.unpack(html_text.pack(big)), big)
+
+
 def test_article_of_test_pages(spark, sf):
     import html
     import re
