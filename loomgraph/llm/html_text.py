@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, record_batch, ship
@@ -268,14 +268,23 @@ def least(tokens: np.ndarray, site: int) -> np.ndarray:
     return (low * _ODD[0]) >> np.uint64(64 - KEY_BITS)  # least hashes are small; the product spreads them
 
 
-def pack(keys: np.ndarray) -> bytes:
-    """Keys in ascending order as compressed planes of the bytes of their differences."""
-    return zstandard.ZstdCompressor(1).compress(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes())
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of their bytes."""
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def unpack(blob: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob), dtype=np.uint64)
 
 
 def _words(page: list[tuple[bool, float, str]]) -> list[str]:
@@ -340,46 +349,70 @@ def extract(pages: DataFrame, shard: int = SHARD) -> DataFrame:
 
 
 def _across(held: DataFrame, n_parts: int) -> DataFrame:
-    """(part, name): the windows of parts of large hosts that come on two pages or more, in several parts."""
-    buckets = max(BUCKETS, n_parts // 128)
+    """(part, names): the windows of parts of large hosts that come on two pages or more, in several parts."""
+    buckets = max(BUCKETS, n_parts // 32)
+
+    def dealt(keys: np.ndarray, bits: int) -> list[tuple[int, slice]]:
+        """Where each bucket's share of ascending keys lies; `bits`: how many a key has beyond KEY_BITS."""
+        bucket = ((keys >> np.uint64(bits)) * np.uint64(buckets) >> np.uint64(KEY_BITS)).astype(np.int64)
+        begins = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        return [(int(bucket[a]), slice(a, b)) for a, b in zip(begins, begins[1:] + [len(keys)], strict=True)] if begins else []
 
     def send(part: pa.Table) -> pa.Table:
         out = []
         if part.column("large")[0].as_py():
             _, tokens, sizes, site = _held(part)
             keys = np.unique(least(tokens, site)[_whole(sizes)])
-            bucket = (keys * np.uint64(buckets) >> np.uint64(KEY_BITS)).astype(np.int64)
-            begins = np.flatnonzero(np.diff(bucket, prepend=-1))
-            out = [(int(bucket[a]), pack(k)) for a, k in zip(begins.tolist(), np.split(keys, begins[1:]), strict=True)] if len(keys) else []
-        return pa.table({"bucket": pa.array([b for b, _ in out], pa.int64()), "part": pa.array([part.column("part")[0].as_py()] * len(out), pa.int64()), "keys": pa.array([k for _, k in out], pa.binary())})
+            out = [(b, part.column("part")[0].as_py(), pack_sorted(keys[at])) for b, at in dealt(keys, 0)]
+        return _table(out, bucket=pa.int64(), part=pa.int64(), keys=pa.binary())
 
     def common(bucket: pa.Table) -> pa.Table:
-        lists = [unpack(k) for k in bucket.column("keys").to_pylist()]
+        lists = [unpack_sorted(k) for k in bucket.column("keys").to_pylist()]
         every = np.sort(np.concatenate(lists))
         twice = np.unique(every[1:][every[1:] == every[:-1]])
         kept = [k[np.isin(k, twice, assume_unique=True)] for k in lists]
-        out = [(p, pack(k)) for p, k in zip(bucket.column("part").to_pylist(), kept, strict=True) if len(k)]
-        return pa.table({"part": pa.array([p for p, _ in out], pa.int64()), "keys": pa.array([k for _, k in out], pa.binary())})
+        return _table([(p, pack_sorted(k)) for p, k in zip(bucket.column("part").to_pylist(), kept, strict=True) if len(k)], part=pa.int64(), keys=pa.binary())
 
     def name(part: pa.Table, met: pa.Table) -> pa.Table:
-        names, pages = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        out = []
         if part.num_rows and met.num_rows:
-            keys = np.concatenate([unpack(k) for k in met.column("keys").to_pylist()])
+            keys = np.concatenate([unpack_sorted(k) for k in met.column("keys").to_pylist()])
             _, tokens, sizes, site = _held(part)
             sent = np.flatnonzero(_whole(sizes) & np.isin(least(tokens, site), keys))
             names, pages = windows(tokens, site)[sent], np.repeat(part.column("page").to_numpy(), sizes)[sent]
-        order = np.lexsort((pages, names))
-        names, pages = names[order], pages[order]
-        first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1]))[: len(names)])
-        last = np.concatenate((first[1:], [len(names)]))[: len(first)] - 1
-        key = part.column("part")[0].as_py() if part.num_rows else 0
-        return pa.table({"part": pa.array([key] * len(first), pa.int64()), "name": names[first].view(np.int64), "low": pages[first], "high": pages[last]})
+            order = np.lexsort((pages, names))
+            names, pages = names[order], pages[order]
+            first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1]))[: len(names)])
+            last = np.concatenate((first[1:], [len(names)]))[: len(first)] - 1
+            for b, at in dealt(names[first], 64 - KEY_BITS):
+                # the least and the greatest page of each, by their places among the pages
+                known, place = np.unique(np.concatenate((pages[first[at]], pages[last[at]])), return_inverse=True)
+                low, high = np.split(place.astype(np.int64), 2)
+                out.append((b, part.column("part")[0].as_py(), pack_sorted(names[first[at]]), pack(known), pack(low), pack(high - low)))
+        return _table(out, bucket=pa.int64(), part=pa.int64(), names=pa.binary(), pages=pa.binary(), low=pa.binary(), span=pa.binary())
+
+    def again(bucket: pa.Table) -> pa.Table:
+        lists, lows, highs = [], [], []
+        for names, pages, low, span in zip(*(bucket.column(c).to_pylist() for c in ("names", "pages", "low", "span")), strict=True):
+            known, at = unpack(pages).view(np.int64), unpack(low).view(np.int64)
+            lists.append(unpack_sorted(names))
+            lows.append(known[at])
+            highs.append(known[at + unpack(span).view(np.int64)])
+        every, place = np.unique(np.concatenate(lists), return_inverse=True)
+        least_page, most = np.full(len(every), np.iinfo(np.int64).max), np.full(len(every), np.iinfo(np.int64).min)
+        np.minimum.at(least_page, place, np.concatenate(lows))
+        np.maximum.at(most, place, np.concatenate(highs))
+        repeats = np.split((least_page != most)[place], np.cumsum([len(x) for x in lists])[:-1])
+        return _table([(p, pack_sorted(x[r])) for p, x, r in zip(bucket.column("part").to_pylist(), lists, repeats, strict=True) if r.any()], part=pa.int64(), names=pa.binary())
 
     keys = held.groupBy("part").applyInArrow(send, "bucket long, part long, keys binary")
     met = keys.groupBy("bucket").applyInArrow(common, "part long, keys binary")
-    named = held.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(name, "part long, name long, low long, high long")
-    same = Window.partitionBy("name")
-    return named.withColumn("least", F.min("low").over(same)).withColumn("most", F.max("high").over(same)).filter("least <> most").select("part", "name")
+    named = held.groupBy("part").cogroup(met.groupBy("part")).applyInArrow(name, "bucket long, part long, names binary, pages binary, low binary, span binary")
+    return named.groupBy("bucket").applyInArrow(again, "part long, names binary")
+
+
+def _table(rows: list[tuple], **types: pa.DataType) -> pa.Table:
+    return pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate(types.items())})
 
 
 def _held(part: pa.Table) -> tuple[list, np.ndarray, np.ndarray, int]:
@@ -408,7 +441,8 @@ def _solve_with(part: pa.Table, across: pa.Table | None) -> pa.Table:
     _, pages = np.unique(part.column("page").to_numpy(), return_inverse=True)
     cover = repeated(np.split(tokens.view(np.int64), ends[:-1]), pages.tolist())
     if across is not None and across.num_rows:
-        begins = _whole(sizes) & np.isin(windows(tokens, site), across.column("name").to_numpy().view(np.uint64))
+        names = np.concatenate([unpack_sorted(x) for x in across.column("names").to_pylist()])
+        begins = _whole(sizes) & np.isin(windows(tokens, site), names)
         far = np.zeros(len(tokens), bool)
         for k in range(RUN):
             far[k : k + len(begins)] |= begins

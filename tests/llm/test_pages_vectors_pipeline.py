@@ -146,8 +146,8 @@ def test_windows_meet_by_their_least_hash():
     assert len(set(zip(plain, names.tolist(), keys.tolist()))) == len(set(plain)) == len(set(names.tolist()))
     assert not set(names.tolist()) & set(html_text.windows(tokens, 6).tolist())
     assert not len(html_text.least(tokens[:7], 1)) and html_text._whole(np.array([0, 9, 3, 8, 7])).nonzero()[0].tolist() == [0, 1, 12]
-    for big in (np.zeros(0, np.uint64), np.array([0], np.uint64), np.unique(rng.integers(0, 1 << 40, 5000).astype(np.uint64))):
-        assert np.array_equal(html_text.unpack(html_text.pack(big)), big)
+    for big in (np.zeros(0, np.uint64), np.array([0], np.uint64), np.unique(rng.integers(0, 1 << 40, 5000).astype(np.uint64)), np.array([3, 2**64 - 1], np.uint64)):
+        assert np.array_equal(html_text.unpack_sorted(html_text.pack_sorted(big)), big) and np.array_equal(html_text.unpack(html_text.pack(big[::-1])), big[::-1])
 
 
 def test_article_of_test_pages(spark, sf):
