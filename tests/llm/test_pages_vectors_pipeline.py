@@ -183,6 +183,26 @@ def test_top_k(spark, n):
     assert {tuple(r) for r in got} == brute(codes, queries, 10) and len(got) == len({tuple(r) for r in got})
 
 
+def test_top_k_writes_few_files(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(5)
+    codes = [(v, int(c)) for v, c in enumerate(rng.integers(0, 2**62, 400))]
+    spark.createDataFrame(codes, "vec_id long, code long").write.parquet(str(tmp_path / "codes"))
+    df = spark.read.parquet(str(tmp_path / "codes"))
+    kept, made = hamming.materialise, []
+    monkeypatch.setattr(hamming, "materialise", lambda x, name: made.append(kept(x, name)) or made[-1])
+    conf = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        out = hamming.top_k(df, df.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 10)
+        assert {tuple(r) for r in out.collect()} == brute(codes, [c for c in codes if c[0] % 20 == 0], 10)
+        assert len(made) > 1 and all(len(t.inputFiles()) <= hamming.FILES for t in made) and out.rdd.getNumPartitions() <= hamming.FILES
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
 def test_sign_codes(spark):
     df = spark.createDataFrame([(1, [0.5, -1.0, 2.0], 0), (2, None, 1), (3, [], 1), (4, [float("nan"), 1.0, None], 1), (5, [0.1] * 64, 2)], "vec_id long, embedding array<float>, label int")
     got = {r.vec_id: r.code for r in hamming.sign_codes(df).collect()}
