@@ -55,6 +55,25 @@ class _Memo(dict):
         return value
 
 
+class _Words(_Memo):
+    """A _Memo of str to bytes; ASCII counts a byte a character, and 150 are two small objects and a place."""
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        size = 150 + (len(key) if key.isascii() else 4 * len(key)) + len(value)
+        if size > self.LONG:
+            return value
+        if (held := self.held + size) > self.half:
+            self.old = dict(self)
+            self.clear()
+            held = size
+        self.held = held
+        self[key] = value
+        return value
+
+
 class PieceEncoder:
     """Common part: `piece_ids(piece)` gives the ids of one pre-token."""
 
@@ -110,43 +129,64 @@ SEAM = re.compile(r"(?<=\S)(?= \S)")
 _ODD_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]")
 
 
+def _plain(text: str) -> bool:
+    """Whether all white space is single spaces between words, and line ends that no space is beside."""
+    return not ("  " in text or " \n" in text or "\n " in text or _ODD_SPACE.search(text))
+
+
 def seams(text: str) -> list[str] | None:
     """Words after single spaces, or None where white space needs care (then SEAM.split is used)."""
-    if "  " in text or " \n" in text or "\n " in text or _ODD_SPACE.search(text):
-        return None
-    return text.split(" ")
+    return text.split(" ") if _plain(text) else None
 
 
 class ByteEncoder(PieceEncoder):
-    """byte_bpe: byte-level BPE after the usual pattern; chunks between SEAMs are independent."""
+    """byte_bpe: byte-level BPE after the usual pattern; chunks between SEAMs are independent.
+
+    So are lines where one line end is all the white space between two of them: it is a piece by itself. A
+    text is cut there first, as words joined by a line end hardly ever come again.
+    """
 
     def __init__(self, path: str):
         import public_tokenizers
 
         super().__init__(path)
         self.split = regex.compile(public_tokenizers.PATTERN)
-        self.chunks = _Memo(self.chunk_ids, CHUNKS // 4)
-        self.spaced = _Memo(self.word_ids, CHUNKS)
+        self.chunks = _Words(self.chunk_ids, CHUNKS // 4)
+        self.spaced = _Words(self.word_ids, CHUNKS)
+        self.newline = self.piece_ids("\n")
+
+    def letters_ids(self, word: str, space: str = "") -> bytes:
+        """Ids of letters alone, behind a space or not; only the space is another character in the byte alphabet."""
+        if not word.isascii():
+            return self.piece_ids(space + word)
+        return array("I", [t.id for t in self.model.tokenize("Ġ" + word if space else word)]).tobytes()
 
     def chunk_ids(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self.letters_ids(chunk)
+        if chunk[:-1].isalpha() and chunk[-1] in ",.":
+            return self.chunks[chunk[:-1]] + self.pieces[chunk[-1]]
         return b"".join([self.pieces[p] for p in self.split.findall(chunk)])
 
     def word_ids(self, word: str) -> bytes:
         """A chunk after a single space. Letters alone are one piece, and so is one mark behind them."""
         if word.isalpha():
-            return self.piece_ids(" " + word)
+            return self.letters_ids(word, " ")
         if word[:-1].isalpha() and word[-1] in ",.":
             return self.spaced[word[:-1]] + self.pieces[word[-1]]
         return self.chunk_ids(" " + word)
 
     def encode(self, text: str) -> bytes:
-        words = seams(text)
-        if words is None:
+        if not _plain(text):
             chunks = self.chunks
             return b"".join([chunks[c] for c in SEAM.split(text)])
-        spaced = self.spaced
-        head = self.chunks[words[0]]
-        return head + b"".join([spaced[w] for w in words[1:]])
+        if "\n\n" in text:
+            return self.words_ids(text.split(" "))
+        return self.newline.join([self.words_ids(line.split(" ")) for line in text.split("\n")])
+
+    def words_ids(self, words: list[str]) -> bytes:
+        """The first word has no space before it."""
+        return self.chunks[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:]))
 
 
 _held: dict[tuple[str, str], PieceEncoder] = {}

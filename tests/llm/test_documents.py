@@ -11,7 +11,7 @@ import public_tokenizers as P
 import pytest
 import xxhash
 
-from loomgraph.llm import bpe_fst, fingerprint, licences, packing, pii, repair, simhash, toxicity
+from loomgraph.llm import bpe_fst, fingerprint, licences, packing, pii, repair, simhash, tokens, toxicity
 from loomgraph.llm.common import table
 
 ODD = [
@@ -125,6 +125,23 @@ def test_token_files(docs, texts, odd, none, spark, tmp_path):
     assert repair.write_and_read(none, P.path("byte_bpe_50k.json")).count() == 0
 
 
+def test_byte_encoder_cuts_at_line_ends():
+    lib, enc = library("byte_bpe_50k.json"), tokens.ByteEncoder(P.path("byte_bpe_50k.json"))
+    ends = ["one two.\nThree, four\nfive", "\na b\n", "\n", "a\n\nb c\nd", "x'\n's 't\n'll", "1\n2 3.\n.4", "é,\nÉ ß.\nñ", "a \nb", "a\n b", "a\tb\nc", "a\r\nb", "a\n\n\nb\n", "a\x01,\nb", "日本\n語 本.\n語"]
+    for t in ends * 2:
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == lib(t)[:-1], t
+    enc = tokens.ByteEncoder(P.path("byte_bpe_50k.json"))
+    enc.encode("alpha beta.\nGamma delta")
+    assert set(enc.spaced) == {"beta.", "beta", "delta"}  # no word is kept with the next line's
+
+
+def test_words_are_forgotten_by_bytes():
+    m = tokens._Words(lambda k: bytes(8), 100_000)
+    for k in range(5000):
+        assert m[f"w{k}"] == bytes(8) and m.held <= m.half
+    assert len(m) + len(m.old) < 700 and m["w1"] == bytes(8) and m["é" * 4000] == bytes(8) and "é" * 4000 not in m
+
+
 def test_repair_random_access():
     rng = np.random.default_rng(3)
     ids = np.concatenate([rng.integers(0, 60, 3000), np.tile([7, 7, 7, 8], 500), rng.integers(0, 50256, 500)]).astype("<u4")
