@@ -198,13 +198,13 @@ def write(docs: DataFrame, path: str, to: str, parts: int | None = None, size: i
             docs_in.clear()
             return row
 
-        for ids, texts in texts_of(batches):
-            for doc, text in zip(ids, texts, strict=True):
-                held.append(enc.encode(text) + tail)
-                docs_in.append(doc)
-                n_held += len(held[-1]) // 4
-                if n_held >= size:
-                    yield close()
+        rows = (row for ids, texts in texts_of(batches) for row in zip(ids, texts, strict=True))
+        for doc, ids in enc.encode_rows(rows):
+            held.append(ids + tail)
+            docs_in.append(doc)
+            n_held += len(held[-1]) // 4
+            if n_held >= size:
+                yield close()
         if held:
             yield close()
 

@@ -135,6 +135,50 @@ def test_byte_encoder_cuts_at_line_ends():
     assert set(enc.spaced) == {"beta.", "beta", "delta"}  # no word is kept with the next line's
 
 
+def test_byte_encoder_takes_texts_together(monkeypatch):
+    ends = ["one two.\nThree, four\nfive", "\na b\n", "\n", "a\n\nb c\nd", "x'\n's 't\n'll", "1\n2 3.\n.4", "é,\nÉ ß.\nñ", "a \nb", "a\n b", "a\tb\nc", "a b\n", " a", "a ", " "]
+    ends += ["", "a\x01,\nb", "\x00 a\x00 \x7f", "日本\n語 本.\n語", "a., b,. c,, , .", "don't, we'll.", "x" * 9000 + " " + "é" * 5000 + ".", "<|endoftext|> a", "À Àa Ġb", "e\u0301t, \u0301.", "\u1c89a \U0001f600, ꟊ.", "ª ǅ ʰ, ⅷ."]
+    path = P.path("byte_bpe_50k.json")
+    lib = library("byte_bpe_50k.json")
+    rows = [(k, t) for k, t in enumerate(ends * 3)]
+    want = [(k, lib(t)[:-1]) for k, t in rows]
+    for together, known, call in ((1 << 24, 1 << 20, 1 << 13), (300, 200, 7), (12, 0, 1)):
+        monkeypatch.setattr(tokens, "TOGETHER", together)
+        monkeypatch.setattr(tokens, "KNOWN", known)
+        monkeypatch.setattr(tokens, "CALL", call)
+        enc = tokens.ByteEncoder(path)
+        assert [(k, np.frombuffer(x, "<u4").tolist()) for k, x in enc.encode_rows(iter(rows))] == want
+        assert enc.known.nbytes + enc.known_ids.nbytes <= max(known, 16)
+        enc.between = b""  # a vocabulary without such a byte
+        enc.known, enc.known_ids = enc.known[:0], enc.known_ids[:0]
+        assert [np.frombuffer(x, "<u4").tolist() for _, x in enc.encode_rows(rows)] == [x for _, x in want]
+    assert list(enc.encode_rows([])) == []
+
+
+def test_new_words_go_to_the_model_together():
+    """One call a word, and a look in a dict each time it comes, took more CPU than the budget of op2."""
+    enc, calls = tokens.ByteEncoder(P.path("byte_bpe_50k.json")), []
+    alone, bare = enc.model, enc.bare
+
+    class Alone:
+        def tokenize(self, text):
+            calls.append(text)
+            return alone.tokenize(text)
+
+    class Bare:
+        def encode_batch_fast(self, texts, **kw):
+            calls.append(texts)
+            return bare.encode_batch_fast(texts, **kw)
+
+    enc.model, enc.bare = Alone(), Bare()
+    words = ["".join(chr(97 + k // 26**j % 26) for j in range(4)) for k in range(3000)]
+    text = " ".join(words) + ", " + ". ".join(words) + "\n" + ", ".join(words)
+    lib = library("byte_bpe_50k.json")
+    for _ in range(2):
+        assert np.frombuffer(next(enc.encode_rows([(0, text)]))[1], "<u4").tolist() == lib(text)[:-1]
+        assert len(calls) < 10
+
+
 def test_words_are_forgotten_by_bytes():
     m = tokens._Words(lambda k: bytes(8), 100_000)
     for k in range(5000):
